@@ -157,6 +157,8 @@ _PAID = "count(*) FILTER (WHERE payment_status = 'Success')"
 _PAID_R = "coalesce(sum(revenue_c) FILTER (WHERE payment_status = 'Success'), 0)"
 _LOST_R = "coalesce(sum(revenue_c) FILTER (WHERE payment_status = 'Failed'), 0)"
 
+_ITEM_SUMS = f"""count(*) AS items, {money(_SUM_R)} AS revenue, {money(_SUM_P)} AS profit"""
+
 _FACT_OUT = f"""quantity, {money('revenue_c')} AS revenue, {money('cost_c')} AS cost,
  {money('profit_c')} AS profit, payment_status, channel"""
 _CLEAN_FACT = f"SELECT order_id, order_date, customer_id, product_id, {_FACT_OUT} FROM clean_fact"
@@ -673,6 +675,18 @@ ORACLE: dict[str, str] = {
     "insight_top_category": _graded(_rule_top()),
     "insights_all": _graded("SELECT * FROM insights", _all_rules()),
     "insights_summary": _graded(_SUMMARY, _all_rules()),
+    "summaries_daily": _graded(
+        f"""SELECT order_date_key, channel, payment_status, count(DISTINCT order_id) AS orders,
+ {_ITEM_SUMS} FROM fact_orders GROUP BY order_date_key, channel, payment_status"""
+    ),
+    "summaries_customers": _graded(
+        f"""SELECT customer_key, count(DISTINCT order_id) AS orders, {_ITEM_SUMS}
+ FROM sales GROUP BY customer_key"""
+    ),
+    "summaries_products": _graded(
+        f"""SELECT product_key, product_id, category, {_ITEM_SUMS}
+ FROM sales GROUP BY product_key, product_id, category"""
+    ),
     "dashboard_payload": _payload(),
     "payload_round_trip": _graded(
         f"""SELECT year_month, total_revenue AS revenue, total_profit AS profit,

@@ -11,7 +11,7 @@ from tallymart.sources.shared import shared_dir
 from tallymart.sources.star import Star, read_warehouse, write_warehouse
 
 RAW = {"plain": plain_raw, "graded": graded_raw}
-_built: dict[tuple[str, str, str], str] = {}
+_built: dict[tuple[str, str, str], Star] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> RawTables:
@@ -24,5 +24,5 @@ def star(spark: SparkSession, sf_dir: str, name: str) -> Star:
     if key not in _built:
         directory = shared_dir(spark, f"warehouse-{name}")
         write_warehouse(build_star(raw(spark, sf_dir, name)), directory)
-        _built[key] = directory
-    return read_warehouse(spark, _built[key])
+        _built[key] = read_warehouse(spark, directory)
+    return _built[key]

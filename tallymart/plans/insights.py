@@ -16,7 +16,7 @@ from ..functions import percent
 from ..operators import numbered
 from ..rules import DEFAULT_RULES, Rules
 from ..sources.star import Star
-from .totals import category_totals, channel_totals, customer_totals, margin
+from .totals import category_totals, channel_totals, margin, one_time_customers
 
 COLUMNS = ["rule_order", "rank", "type", "category", "title", "message", "severity"]
 
@@ -100,7 +100,7 @@ def failed_payments(star: Star, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Channels whose rounded share of failed items is over the threshold."""
     limit = rules.failed_payment_pct
     found = (
-        channel_totals(star.fact_orders)
+        channel_totals(star)
         .withColumn("rate", percent(F.col("failed_items"), F.col("items")))
         .where(F.col("rate") > F.lit(limit))
     )
@@ -124,9 +124,9 @@ def customer_retention(star: Star, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Segments in which too many of all customers bought exactly once."""
     segments = (
         star.dim_customer.select("customer_key", "segment")
-        .join(customer_totals(star), "customer_key", "left")
+        .join(one_time_customers(star), "customer_key", "left")
         .groupBy("segment")
-        .agg(F.count("*").alias("customers"), F.count_if(F.col("orders") == 1).alias("one_time"))
+        .agg(F.count("*").alias("customers"), F.count_if("one_time").alias("one_time"))
         .withColumn("share", percent(F.col("one_time"), F.col("customers")))
         .where(F.col("share") > F.lit(rules.one_time_pct))
     )

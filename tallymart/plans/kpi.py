@@ -16,10 +16,14 @@ from ..sources.star import Star
 from .totals import (
     category_totals,
     channel_totals,
+    customer_sums,
     customer_totals,
     dated,
-    is_paid,
     margin,
+    monthly_channel_totals,
+    monthly_totals,
+    orders_of,
+    overall_totals,
     paid_items,
 )
 
@@ -32,8 +36,7 @@ def _desc(name: str) -> Column:
 
 
 def revenue(star: Star) -> DataFrame:
-    totals = paid_items(star).agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))
-    return totals.select(
+    return overall_totals(star).select(
         F.col("revenue").alias("total_revenue"),
         F.col("profit").alias("total_profit"),
         margin().alias("profit_margin_pct"),
@@ -41,29 +44,22 @@ def revenue(star: Star) -> DataFrame:
 
 
 def success_rate(star: Star) -> DataFrame:
-    counts = star.fact_orders.agg(
-        F.count("*").alias("total_orders"), F.count_if(is_paid()).alias("successful_orders")
-    )
-    return counts.withColumn(
-        "success_rate_pct", percent(F.col("successful_orders"), F.col("total_orders"))
+    return overall_totals(star).select(
+        F.col("items").alias("total_orders"),
+        F.col("paid_items").alias("successful_orders"),
+        percent(F.col("paid_items"), F.col("items")).alias("success_rate_pct"),
     )
 
 
 def executive(star: Star) -> DataFrame:
     """Revenue, profit, margin and success rate in one pass over the fact."""
-    sums = star.fact_orders.agg(
-        F.count("*").alias("total_orders"),
-        F.count_if(is_paid()).alias("successful_orders"),
-        F.sum(F.when(is_paid(), F.col("revenue"))).alias("revenue"),
-        F.sum(F.when(is_paid(), F.col("profit"))).alias("profit"),
-    )
-    return sums.select(
+    return overall_totals(star).select(
         F.col("revenue").alias("total_revenue"),
         F.col("profit").alias("total_profit"),
         margin().alias("profit_margin"),
-        percent(F.col("successful_orders"), F.col("total_orders")).alias("order_success_rate"),
-        "total_orders",
-        "successful_orders",
+        percent(F.col("paid_items"), F.col("items")).alias("order_success_rate"),
+        F.col("items").alias("total_orders"),
+        F.col("paid_items").alias("successful_orders"),
     )
 
 
@@ -101,7 +97,7 @@ def retention(star: Star, cross_year: bool = False) -> DataFrame:
 
 def failed_by_channel(star: Star) -> DataFrame:
     return (
-        channel_totals(star.fact_orders)
+        channel_totals(star)
         .select(
             "channel",
             F.col("items").alias("total_orders"),
@@ -130,7 +126,7 @@ def order_value(star: Star) -> DataFrame:
 def revenue_per_customer(star: Star) -> DataFrame:
     """Per segment, over customers with a paid item."""
     segments = (
-        customer_totals(star)
+        customer_sums(star)
         .join(star.dim_customer.select("customer_key", "segment"), "customer_key")
         .groupBy("segment")
         .agg(
@@ -169,19 +165,10 @@ def revenue_by_category(star: Star, limit: int = DEFAULT_RULES.category_limit) -
 
 def monthly_trend(star: Star) -> DataFrame:
     """Distinct paid orders, revenue, profit and margin per month."""
-    months = (
-        dated(paid_items(star), star)
-        .groupBy("year", "month")
-        .agg(
-            F.countDistinct("order_id").alias("order_count"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("profit").alias("profit"),
-        )
-    )
-    return months.select(
+    return monthly_totals(star).select(
         "year",
         "month",
-        "order_count",
+        F.col("orders").alias("order_count"),
         F.col("revenue").alias("total_revenue"),
         F.col("profit").alias("total_profit"),
         margin().alias("profit_margin_pct"),
@@ -191,7 +178,7 @@ def monthly_trend(star: Star) -> DataFrame:
 def channel_by_month(star: Star) -> DataFrame:
     """Items, revenue and failure share per month and channel, paid or not."""
     return (
-        channel_totals(dated(star.fact_orders, star), "year", "month")
+        monthly_channel_totals(star)
         .select(
             "year",
             "month",
@@ -261,7 +248,7 @@ def customer_segments(star: Star) -> DataFrame:
 
 def channel_performance(star: Star) -> DataFrame:
     return (
-        channel_totals(star.fact_orders)
+        channel_totals(star)
         .select(
             "channel",
             F.col("items").alias("total_orders"),
@@ -278,19 +265,23 @@ def top_customers(
 ) -> DataFrame:
     """Customers with the most paid revenue, ties by customer id."""
     customers = star.dim_customer.select("customer_key", "customer_id", "segment", "country")
+    best = (
+        customer_sums(star)
+        .join(customers, "customer_key")
+        .orderBy(_desc("revenue"), "customer_id")
+        .limit(limit)
+    )
     profit = [F.col("profit").alias("total_profit")] if with_profit else []
     return (
-        customer_totals(star)
-        .join(customers, "customer_key")
+        orders_of(star, best, "customer_key")
         .select(
             "customer_id",
             "segment",
             "country",
-            F.col("orders").alias("order_count"),
+            "order_count",
             F.col("revenue").alias("total_revenue"),
             *profit,
             mean(F.col("revenue"), F.col("items")).alias("avg_order_value"),
         )
         .orderBy(_desc("total_revenue"), "customer_id")
-        .limit(limit)
     )

@@ -37,7 +37,7 @@ def row_counts(star: Star) -> DataFrame:
     return _union(
         [
             _total(df, "row_count").select(F.lit(name).alias("table_name"), "row_count")
-            for name, df in star._asdict().items()
+            for name, df in star.tables().items()
         ]
     )
 

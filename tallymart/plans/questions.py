@@ -17,7 +17,9 @@ from .totals import (
     channel_totals,
     dated,
     margin,
+    orders_of,
     paid_items,
+    product_totals,
 )
 
 # Tier labels and the percentages that separate them.
@@ -44,31 +46,26 @@ def _share_below(part: str, whole: str, pct: int) -> Column:
 def product_margin(star: Star, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Products that sell well, with their margin tier; the tier tests the unrounded margin."""
     *steps, healthy = MARGIN_TIERS
-    orders = (
-        paid_items(star)
-        .groupBy("product_key")
-        .agg(
-            F.countDistinct("order_id").alias("order_count"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("profit").alias("profit"),
-        )
+    best = (
+        product_totals(star)
         .where(F.col("revenue") > F.lit(rules.min_product_revenue))
+        .withColumn("profit_margin_pct", margin())
+        .orderBy(F.col("revenue").desc(), "profit_margin_pct", "product_id")
+        .limit(rules.product_limit)
     )
+    status = [(_share_below("profit", "revenue", pct), label) for pct, label in steps]
     return (
-        orders.join(star.dim_product.select("product_key", "product_id", "category"), "product_key")
+        orders_of(star, best, "product_key")
         .select(
             "product_id",
             "category",
             "order_count",
             F.col("revenue").alias("total_revenue"),
             F.col("profit").alias("total_profit"),
-            margin().alias("profit_margin_pct"),
-            tier(
-                [(_share_below("profit", "revenue", pct), label) for pct, label in steps], healthy
-            ).alias("margin_status"),
+            "profit_margin_pct",
+            tier(status, healthy).alias("margin_status"),
         )
         .orderBy(F.col("total_revenue").desc(), "profit_margin_pct", "product_id")
-        .limit(rules.product_limit)
     )
 
 
@@ -126,7 +123,7 @@ def channel_failure(star: Star) -> DataFrame:
     """Failed payments and lost revenue per channel; the tier tests the unrounded share."""
     *steps, low = FAILURE_TIERS
     return (
-        channel_totals(star.fact_orders)
+        channel_totals(star)
         .select(
             "channel",
             F.col("items").alias("total_orders"),

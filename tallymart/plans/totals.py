@@ -5,7 +5,10 @@ sums the fact per product or customer key, inside the map tasks, so a key that
 holds a large part of the rows shrinks to one partial row per task before
 anything is shuffled; only then the dimension is joined.  An order has one
 date, customer, status and channel (the fact build sees to that), so distinct
-orders may be counted per customer and added up.
+orders may be counted per customer or day and added up.
+
+``with_summaries`` writes these sums once, for jobs that compute many reports:
+three passes over the fact instead of one or more per report.
 """
 
 from __future__ import annotations
@@ -15,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import percent
 from ..functions.mapping import FAILED, SUCCESS
-from ..sources.star import Star
+from ..sources.shared import store
+from ..sources.star import Star, Summaries
 
 
 def is_paid() -> Column:
@@ -35,11 +39,14 @@ def paid_items(star: Star) -> DataFrame:
     return star.fact_orders.where(is_paid())
 
 
-def dated(fact: DataFrame, star: Star) -> DataFrame:
+def dated(df: DataFrame, star: Star) -> DataFrame:
     """Join the date dimension, which has at most one row per calendar day."""
-    return fact.join(
-        F.broadcast(star.dim_date), fact["order_date_key"] == star.dim_date["date_key"]
-    )
+    return df.join(F.broadcast(star.dim_date), df["order_date_key"] == star.dim_date["date_key"])
+
+
+def _added(name: str) -> Column:
+    """Sum of a count, zero without rows."""
+    return F.coalesce(F.sum(name), F.lit(0))
 
 
 def _sums() -> list[Column]:
@@ -50,10 +57,90 @@ def _sums() -> list[Column]:
     ]
 
 
+# -- per day, channel and status ---------------------------------------------
+
+
+def daily_totals(star: Star) -> DataFrame:
+    """Distinct orders, items, revenue and profit per day, channel and payment status."""
+    if star.summaries:
+        return star.summaries.daily
+    return star.fact_orders.groupBy("order_date_key", "channel", "payment_status").agg(
+        F.countDistinct("order_id").alias("orders"), *_sums()
+    )
+
+
+def _activity(star: Star) -> DataFrame:
+    """The daily sums where they exist, else the fact with each row as one item."""
+    if star.summaries:
+        return star.summaries.daily
+    return star.fact_orders.withColumn("items", F.lit(1).cast("bigint"))
+
+
+def overall_totals(star: Star) -> DataFrame:
+    """One row: items, and the items, revenue and profit that were paid."""
+    return _activity(star).agg(
+        _added("items").alias("items"),
+        F.coalesce(F.sum(F.when(is_paid(), F.col("items"))), F.lit(0)).alias("paid_items"),
+        F.sum(F.when(is_paid(), F.col("revenue"))).alias("revenue"),
+        F.sum(F.when(is_paid(), F.col("profit"))).alias("profit"),
+    )
+
+
+def channel_totals(star: Star) -> DataFrame:
+    """Items, paid and failed items, and their revenue, per channel."""
+    return _by_channel(_activity(star))
+
+
+def monthly_channel_totals(star: Star) -> DataFrame:
+    return _by_channel(dated(_activity(star), star), "year", "month")
+
+
+def _by_channel(activity: DataFrame, *by: str) -> DataFrame:
+    return activity.groupBy(*by, "channel").agg(
+        _added("items").alias("items"),
+        _where(is_paid(), "items").alias("paid_items"),
+        _where(is_failed(), "items").alias("failed_items"),
+        F.sum("revenue").alias("revenue"),
+        _where(is_paid(), "revenue").alias("paid_revenue"),
+        _where(is_failed(), "revenue").alias("failed_revenue"),
+    )
+
+
+def _where(condition: Column, name: str) -> Column:
+    return F.sum(F.when(condition, F.col(name)).otherwise(0))
+
+
+def monthly_totals(star: Star) -> DataFrame:
+    """Paid distinct orders, revenue and profit per month."""
+    if star.summaries:
+        paid, orders = star.summaries.daily.where(is_paid()), F.sum("orders")
+    else:
+        paid, orders = paid_items(star), F.countDistinct("order_id")
+    return (
+        dated(paid, star)
+        .groupBy("year", "month")
+        .agg(
+            orders.alias("orders"),
+            F.sum("revenue").alias("revenue"),
+            F.sum("profit").alias("profit"),
+        )
+    )
+
+
+# -- per product -------------------------------------------------------------
+
+
+def product_sums(star: Star) -> DataFrame:
+    """Paid items, revenue and profit per product key."""
+    if star.summaries:
+        return star.summaries.products
+    return paid_items(star).groupBy("product_key").agg(*_sums())
+
+
 def product_totals(star: Star) -> DataFrame:
-    """Paid items, revenue and profit per product, with id and category."""
-    per_key = paid_items(star).groupBy("product_key").agg(*_sums())
-    return per_key.join(star.dim_product.select("product_key", "product_id", "category"), "product_key")
+    """Product sums with product id and category."""
+    named = star.dim_product.select("product_key", "product_id", "category")
+    return product_sums(star).join(named, "product_key")
 
 
 def category_totals(star: Star) -> DataFrame:
@@ -71,7 +158,7 @@ def category_totals(star: Star) -> DataFrame:
 
 
 def category_orders(star: Star) -> DataFrame:
-    """Paid revenue and profit per category with its distinct orders.
+    """Paid distinct orders, items, revenue and profit per category.
 
     A category's orders can only be told apart at item grain, so this one joins
     the product dimension to the fact itself.
@@ -85,8 +172,13 @@ def category_orders(star: Star) -> DataFrame:
     )
 
 
+# -- per customer ------------------------------------------------------------
+
+
 def customer_totals(star: Star) -> DataFrame:
-    """Paid orders, items, revenue and profit per customer key."""
+    """Paid distinct orders, items, revenue and profit per customer key."""
+    if star.summaries:
+        return star.summaries.customers
     return (
         paid_items(star)
         .groupBy("customer_key")
@@ -94,17 +186,56 @@ def customer_totals(star: Star) -> DataFrame:
     )
 
 
-def channel_totals(fact: DataFrame, *by: str) -> DataFrame:
-    """Items, paid and failed items, and their revenue, per channel."""
-    return fact.groupBy(*by, "channel").agg(
-        F.count("*").alias("items"),
-        F.count_if(is_paid()).alias("paid_items"),
-        F.count_if(is_failed()).alias("failed_items"),
-        F.sum("revenue").alias("revenue"),
-        revenue_where(is_paid()).alias("paid_revenue"),
-        revenue_where(is_failed()).alias("failed_revenue"),
+def customer_sums(star: Star) -> DataFrame:
+    """Paid items, revenue and profit per customer key, without counting orders."""
+    if star.summaries:
+        return star.summaries.customers
+    return paid_items(star).groupBy("customer_key").agg(*_sums())
+
+
+def one_time_customers(star: Star) -> DataFrame:
+    """Customers with a paid item, and whether all of theirs are of one order.
+
+    The smallest and the largest order id tell, so one row per customer is
+    shuffled and not one per order.
+    """
+    if star.summaries:
+        return star.summaries.customers.select(
+            "customer_key", (F.col("orders") == 1).alias("one_time")
+        )
+    single = F.min("order_id") == F.max("order_id")
+    return paid_items(star).groupBy("customer_key").agg(single.alias("one_time"))
+
+
+def orders_of(star: Star, chosen: DataFrame, key: str) -> DataFrame:
+    """Add the distinct paid orders to a report's chosen products or customers.
+
+    For reports that rank by something else and list a few rows: ranking first
+    and counting only for what is listed spares shuffling every order.  The
+    caller passes a frame that a limit bounds, which is what is broadcast.
+    """
+    if star.summaries and "orders" in chosen.columns:
+        return chosen.withColumnRenamed("orders", "order_count")
+    keys = F.broadcast(chosen.select(key))
+    counted = (
+        paid_items(star)
+        .join(keys, key, "left_semi")
+        .groupBy(key)
+        .agg(F.countDistinct("order_id").alias("order_count"))
     )
+    return chosen.join(counted, key)
+
 
+# -- stored ------------------------------------------------------------------
 
-def revenue_where(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("revenue")).otherwise(0))
+
+def with_summaries(star: Star) -> Star:
+    """The star with its sums written to the shared folder."""
+    base = star._replace(summaries=None)
+    return star._replace(
+        summaries=Summaries(
+            daily=store(daily_totals(base), "daily"),
+            customers=store(customer_totals(base), "customers"),
+            products=store(product_sums(base), "products"),
+        )
+    )

@@ -10,16 +10,31 @@ from pyspark.sql import functions as F
 from ..schemas import CLEAN, WAREHOUSE, conform
 
 
+class Summaries(NamedTuple):
+    """Sums of the fact the reports can start from instead of the fact itself."""
+
+    daily: DataFrame  # per day, channel and payment status
+    customers: DataFrame  # paid, per customer key
+    products: DataFrame  # paid, per product key
+
+
 class Star(NamedTuple):
     fact_orders: DataFrame
     dim_customer: DataFrame
     dim_product: DataFrame
     dim_date: DataFrame
+    summaries: Summaries | None = None
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in TABLES}
+
+
+TABLES = ("fact_orders", "dim_customer", "dim_product", "dim_date")
 
 
 def write_clean(star: Star, directory: str, fmt: str = "parquet") -> None:
     """Replace the clean zone, one folder per table, as Parquet or CSV with a header."""
-    for name, df in star._asdict().items():
+    for name, df in star.tables().items():
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
@@ -27,7 +42,7 @@ def write_clean(star: Star, directory: str, fmt: str = "parquet") -> None:
 
 
 def read_clean(spark: SparkSession, directory: str, fmt: str = "parquet") -> Star:
-    return Star(**{name: _read(spark, directory, name, fmt, CLEAN) for name in Star._fields})
+    return Star(**{name: _read(spark, directory, name, fmt, CLEAN) for name in TABLES})
 
 
 def write_fact(fact: DataFrame, directory: str) -> None:
@@ -47,7 +62,7 @@ def write_fact(fact: DataFrame, directory: str) -> None:
 
 
 def write_dimensions(star: Star, directory: str) -> None:
-    for name in Star._fields[1:]:
+    for name in TABLES[1:]:
         getattr(star, name).write.mode("overwrite").parquet(f"{directory}/{name}")
 
 
@@ -57,12 +72,12 @@ def write_warehouse(star: Star, directory: str) -> None:
 
 
 def read_warehouse(spark: SparkSession, directory: str) -> Star:
-    return Star(**{name: _read(spark, directory, name, "parquet", WAREHOUSE) for name in Star._fields})
+    return Star(**{name: _read(spark, directory, name, "parquet", WAREHOUSE) for name in TABLES})
 
 
 def register_views(star: Star) -> None:
     """Temp views named like the tables, for ``spark.sql``."""
-    for name, df in star._asdict().items():
+    for name, df in star.tables().items():
         df.createOrReplaceTempView(name)
 
 
