@@ -670,7 +670,7 @@ ORACLE: dict[str, str] = {
     "api_top_customers": _graded(_top_customers()),
     "insight_low_margin": _graded(_rule_low_margin()),
     "insight_failed_payments": _graded(_rule_failed()),
-    "insight_retention": _graded(_rule_retention(60)),
+    "insight_retention": _graded(_rule_retention(30)),
     "insight_category_review": _graded(_rule_review()),
     "insight_top_category": _graded(_rule_top()),
     "insights_all": _graded("SELECT * FROM insights", _all_rules()),

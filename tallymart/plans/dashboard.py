@@ -166,10 +166,10 @@ def channel_tiers(channels: DataFrame) -> DataFrame:
 def segment_share(segments: DataFrame) -> DataFrame:
     """Each segment's share of all customers."""
     everyone = segments.agg(F.sum("customer_count")).scalar()
-    return segments.select(
+    return segments.withColumn("_everyone", everyone).select(
         "segment",
         "customer_count",
-        percent(F.col("customer_count"), everyone).alias("customer_share_pct"),
+        percent(F.col("customer_count"), F.col("_everyone")).alias("customer_share_pct"),
     )
 
 

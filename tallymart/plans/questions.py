@@ -196,13 +196,14 @@ def category_mix(star: Star) -> DataFrame:
     return (
         category_orders(star)
         .join(products, "category")
+        .withColumns({"_all_orders": all_orders, "_all_revenue": all_revenue})
         .select(
             "category",
             "product_count",
             F.col("orders").alias("order_count"),
             F.col("revenue").alias("total_revenue"),
-            percent(F.col("orders"), all_orders).alias("order_share_pct"),
-            percent(F.col("revenue"), all_revenue).alias("revenue_share_pct"),
+            percent(F.col("orders"), F.col("_all_orders")).alias("order_share_pct"),
+            percent(F.col("revenue"), F.col("_all_revenue")).alias("revenue_share_pct"),
         )
         .orderBy(F.col("total_revenue").desc(), "category")
     )

@@ -214,16 +214,15 @@ def orders_of(star: Star, chosen: DataFrame, key: str) -> DataFrame:
     and counting only for what is listed spares shuffling every order.  The
     caller passes a frame that a limit bounds, which is what is broadcast.
     """
-    if star.summaries and "orders" in chosen.columns:
+    if "orders" in chosen.columns:
         return chosen.withColumnRenamed("orders", "order_count")
-    keys = F.broadcast(chosen.select(key))
-    counted = (
+    return (
         paid_items(star)
-        .join(keys, key, "left_semi")
-        .groupBy(key)
+        .select(key, "order_id")
+        .join(F.broadcast(chosen), key)
+        .groupBy(*chosen.columns)
         .agg(F.countDistinct("order_id").alias("order_count"))
     )
-    return chosen.join(counted, key)
 
 
 # -- stored ------------------------------------------------------------------

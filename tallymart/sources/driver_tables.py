@@ -142,8 +142,9 @@ def graded_raw(spark: SparkSession, sf_dir: str) -> RawTables:
     )
     brand = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
     cost_ratio = ((F.lit(730) + 12 * brand) / 1000).cast("decimal(4,3)")
+    ratios = part.select("p_partkey", cost_ratio.alias("cost_ratio"))
     items = _table(spark, sf_dir, "lineitem").join(
-        part, F.col("l_partkey") == F.col("p_partkey")
+        ratios, F.col("l_partkey") == F.col("p_partkey")
     )
     return RawTables(
         orders=_orders(
@@ -152,7 +153,7 @@ def graded_raw(spark: SparkSession, sf_dir: str) -> RawTables:
             F.when(F.col("o_orderstatus") != "P", placed),
             F.when(F.dayofyear(placed) <= limit, "canceled").otherwise("delivered"),
         ),
-        order_items=_items(items, cost_ratio.alias("cost_ratio")),
+        order_items=_items(items, F.col("cost_ratio")),
         customers=_customers(customers, account),
         products=_products(part),
         payments=_payments(orders),
