@@ -197,7 +197,7 @@ QUERIES: dict[str, Query] = {
     "insight_category_review": _on_star("graded", insights.category_review),
     "insight_top_category": _on_star("graded", insights.top_category),
     "insights_all": _on_summaries(insights.generate),
-    "insights_summary": _on_star("graded", lambda s: insights.summary(insights.generate(s))),
+    "insights_summary": _on_summaries(lambda s: insights.summary(insights.generate(s))),
     # dashboard
     "summaries_daily": _on_star("graded", totals.daily_totals),
     "summaries_customers": _on_star("graded", totals.customer_totals),
@@ -211,5 +211,5 @@ QUERIES: dict[str, Query] = {
     "dash_channel_tier": _table(kpi.channel_performance, dashboard.channel_tiers),
     "dash_segment_share": _table(kpi.customer_segments, dashboard.segment_share),
     "dash_customer_rank": _table(kpi.top_customers, dashboard.customer_rank),
-    "dash_insight_feed": _table(insights.generate, dashboard.insight_feed),
+    "dash_insight_feed": _on_summaries(lambda s: dashboard.insight_feed(insights.generate(s))),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import percent, tier
@@ -164,8 +164,8 @@ def channel_tiers(channels: DataFrame) -> DataFrame:
 
 
 def segment_share(segments: DataFrame) -> DataFrame:
-    """Each segment's share of all customers."""
-    everyone = segments.agg(F.sum("customer_count")).scalar()
+    """Each segment's share of all customers; the window spans the three segment rows."""
+    everyone = F.sum("customer_count").over(Window.partitionBy())
     return segments.withColumn("_everyone", everyone).select(
         "segment",
         "customer_count",
@@ -189,10 +189,9 @@ def customer_rank(customers: DataFrame) -> DataFrame:
 
 
 def insight_feed(records: DataFrame) -> DataFrame:
-    """The first insights, with the number of all."""
-    total = records.agg(F.count("*")).scalar()
+    """The first insights, with the number of all; the window spans the insight records."""
     return (
-        records.withColumn("insight_count", total)
+        records.withColumn("insight_count", F.count("*").over(Window.partitionBy()))
         .orderBy("rule_order", "rank")
         .limit(FEED_LENGTH)
     )
