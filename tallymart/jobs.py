@@ -1,10 +1,12 @@
-"""The three jobs, as functions and for spark-submit.
+"""The jobs, as functions and for spark-submit.
 
+    spark-submit tallymart/jobs.py build  RAW_DIR WAREHOUSE_DIR [--report]
     spark-submit tallymart/jobs.py etl    RAW_DIR CLEAN_DIR [--report]
     spark-submit tallymart/jobs.py load   CLEAN_DIR WAREHOUSE_DIR [--report]
     spark-submit tallymart/jobs.py export WAREHOUSE_DIR PAYLOAD_DIR
 
-``--report`` also computes and prints the audit or the validation, which read
+``build`` goes from the raw tables to the warehouse at once; ``etl`` and ``load``
+do the same in two steps with the clean zone between them.  ``--report`` also computes and prints the audit or the validation, which read
 the data once more.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.plans import dashboard, quality
 from tallymart.plans.load import load_star
-from tallymart.plans.star import build_clean
+from tallymart.plans.star import build_clean, build_star
 from tallymart.plans.totals import with_summaries
 from tallymart.rules import DEFAULT_RULES, Rules
 from tallymart.session import session
@@ -43,6 +45,16 @@ def run_load(
     return quality.validation_report(read_warehouse(spark, warehouse_dir))
 
 
+def run_build(
+    spark: SparkSession, raw_dir: str, warehouse_dir: str, rules: Rules = DEFAULT_RULES,
+    raw_format: str = "csv",
+) -> DataFrame:
+    """Raw tables straight to the warehouse; returns the validation report, computed when read."""
+    read = read_raw_csv if raw_format == "csv" else read_raw_parquet
+    write_warehouse(build_star(read(spark, raw_dir), rules), warehouse_dir)
+    return quality.validation_report(read_warehouse(spark, warehouse_dir))
+
+
 def run_export(
     spark: SparkSession, warehouse_dir: str, payload_dir: str, rules: Rules = DEFAULT_RULES
 ) -> None:
@@ -57,7 +69,7 @@ def main(argv: list[str]) -> None:
     if job == "export":
         run_export(spark, source, target)
     else:
-        report = {"etl": run_etl, "load": run_load}[job](spark, source, target)
+        report = {"build": run_build, "etl": run_etl, "load": run_load}[job](spark, source, target)
         if "--report" in options:
             report.show(100, truncate=False)
 

@@ -15,6 +15,4 @@ def numbered(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFrame:
 
 def unpivot_counts(df: DataFrame, name: str, value: str) -> DataFrame:
     """One wide row of counters to one row per counter."""
-    return df.select(*[F.col(c).cast("bigint").alias(c) for c in df.columns]).unpivot(
-        [], df.columns, name, value
-    )
+    return df.unpivot([], [F.col(f"`{c}`") for c in df.columns], name, value)

@@ -107,30 +107,36 @@ def domain_violations(star: Star) -> DataFrame:
     )
 
 
-def validation_report(star: Star) -> DataFrame:
-    """All checks in one shape: what was checked, on what, and how many."""
-    return _union(
-        [
-            _check("row_count", row_counts(star), "table_name", F.lit("*"), "row_count"),
-            _check("orphans", orphan_counts(star), "table_name", F.col("foreign_key"), "orphans"),
-            _check("nulls", null_counts(star), "table_name", F.col("column_name"), "null_rows"),
-            _check(
-                "duplicates", duplicate_keys(star), "table_name", F.col("key_columns"), "extra_rows"
-            ),
-            _check(
-                "domain", domain_violations(star), "table_name", F.col("column_name"), "bad_rows"
-            ),
-        ]
+def _counters(star: Star, table: str) -> DataFrame:
+    """Rows, nulls and domain violations of a table in one pass, as report rows."""
+    counters = {("row_count", "*"): F.count("*")}
+    for column in NOT_NULL[table]:
+        counters["nulls", column] = F.count_if(F.col(column).isNull())
+    for owner, column, allowed in DOMAIN:
+        if owner == table:
+            counters["domain", column] = F.count_if(~F.col(column).isin(allowed))
+    named = [value.alias(f"{check}/{subject}") for (check, subject), value in counters.items()]
+    name = F.split("name", "/")
+    return unpivot_counts(getattr(star, table).agg(*named), "name", "n").select(
+        name[0].alias("check_name"), F.lit(table).alias("table_name"), name[1].alias("subject"), "n"
     )
 
 
-def _check(name: str, counts: DataFrame, table: str, subject, value: str) -> DataFrame:
-    return counts.select(
-        F.lit(name).alias("check_name"),
-        F.col(table).alias("table_name"),
-        subject.alias("subject"),
-        F.col(value).cast("bigint").alias("n"),
+def validation_report(star: Star) -> DataFrame:
+    """All checks in one shape: what was checked, on what, and how many."""
+    orphans = orphan_counts(star).select(
+        F.lit("orphans").alias("check_name"),
+        "table_name",
+        F.col("foreign_key").alias("subject"),
+        F.col("orphans").alias("n"),
+    )
+    duplicates = duplicate_keys(star).select(
+        F.lit("duplicates").alias("check_name"),
+        "table_name",
+        F.col("key_columns").alias("subject"),
+        F.col("extra_rows").alias("n"),
     )
+    return _union([*[_counters(star, table) for table in NOT_NULL], orphans, duplicates])
 
 
 # -- ETL ---------------------------------------------------------------------

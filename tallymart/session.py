@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Fewer, larger tasks and files than the default of 64 MB.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Plans are built from many small column calls; do not record a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -71,6 +71,10 @@ def test_jobs_from_raw_files_to_payload(spark, tmp_path):
     assert dict(values(audit, "stage", "n_rows"))["fact_orders"] == 3
     report = jobs.run_load(spark, clean, warehouse)
     assert {r.n for r in report.collect() if r.check_name not in ("row_count",)} == {0}
+    direct = str(tmp_path / "direct")
+    assert sorted(jobs.run_build(spark, str(raw_dir), direct).collect()) == sorted(report.collect())
+    for name, df in read_warehouse(spark, direct).tables().items():
+        assert df.exceptAll(read_warehouse(spark, warehouse).tables()[name]).count() == 0
     jobs.run_export(spark, warehouse, out)
     data = json.loads(spark.read.text(out).first().value)
     assert data["kpis"] == {
