@@ -20,6 +20,7 @@ from ..operators import dense_keys, keep_first
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import MONEY
 from ..sources.raw import RawTables
+from ..sources.shared import together
 from ..sources.star import Star
 
 FACT_MEASURES = ["quantity", "revenue", "cost", "profit", "payment_status", "channel"]
@@ -218,14 +219,16 @@ def build_dim_date(raw: RawTables) -> DataFrame:
 # -- whole star --------------------------------------------------------------
 
 
+def _keyed_dimensions(raw: RawTables, rules: Rules) -> list[DataFrame]:
+    return together(
+        lambda: build_dim_customer(raw, rules), lambda: build_dim_product(raw, rules)
+    )
+
+
 def build_clean(raw: RawTables, rules: Rules = DEFAULT_RULES) -> Star:
     """Clean zone: dimensions plus the fact with natural ids."""
-    return Star(
-        fact_orders=build_fact(raw, rules),
-        dim_customer=build_dim_customer(raw, rules),
-        dim_product=build_dim_product(raw, rules),
-        dim_date=build_dim_date(raw),
-    )
+    dim_customer, dim_product = _keyed_dimensions(raw, rules)
+    return Star(build_fact(raw, rules), dim_customer, dim_product, build_dim_date(raw))
 
 
 def build_star(raw: RawTables, rules: Rules = DEFAULT_RULES) -> Star:
@@ -234,8 +237,7 @@ def build_star(raw: RawTables, rules: Rules = DEFAULT_RULES) -> Star:
     Same rows as mapping the clean fact's keys afterwards, but the customer key
     is looked up once per order instead of once per item.
     """
-    dim_customer = build_dim_customer(raw, rules)
-    dim_product = build_dim_product(raw, rules)
+    dim_customer, dim_product = _keyed_dimensions(raw, rules)
     headers = (
         order_headers(raw)
         .where(F.col("order_date").isNotNull())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import percent
 from ..functions.mapping import FAILED, SUCCESS
-from ..sources.shared import store
+from ..sources.shared import store, together
 from ..sources.star import Star, Summaries
 
 
@@ -231,10 +231,9 @@ def orders_of(star: Star, chosen: DataFrame, key: str) -> DataFrame:
 def with_summaries(star: Star) -> Star:
     """The star with its sums written to the shared folder."""
     base = star._replace(summaries=None)
-    return star._replace(
-        summaries=Summaries(
-            daily=store(daily_totals(base), "daily"),
-            customers=store(customer_totals(base), "customers"),
-            products=store(product_sums(base), "products"),
-        )
+    stored = together(
+        lambda: store(daily_totals(base), "daily"),
+        lambda: store(customer_totals(base), "customers"),
+        lambda: store(product_sums(base), "products"),
     )
+    return star._replace(summaries=Summaries(*stored))

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -32,3 +35,10 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(*jobs: Callable):
+    """Run independent jobs side by side; a later one uses cores an earlier one leaves idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [job.result() for job in started]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CLEAN, WAREHOUSE, conform
+from .shared import together
 
 
 class Summaries(NamedTuple):
@@ -34,12 +36,15 @@ TABLES = ("fact_orders", "dim_customer", "dim_product", "dim_date")
 
 def write_clean(star: Star, directory: str, fmt: str = "parquet") -> None:
     """Replace the clean zone, one folder per table, as Parquet or CSV with a header."""
-    for name, df in star.tables().items():
+
+    def write(name: str, df: DataFrame) -> None:
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.save(f"{directory}/{name}")
 
+    together(*[partial(write, name, df) for name, df in star.tables().items()])
+
 
 def read_clean(spark: SparkSession, directory: str, fmt: str = "parquet") -> Star:
     return Star(**{name: _read(spark, directory, name, fmt, CLEAN) for name in TABLES})
@@ -61,14 +66,15 @@ def write_fact(fact: DataFrame, directory: str) -> None:
     )
 
 
-def write_dimensions(star: Star, directory: str) -> None:
-    for name in TABLES[1:]:
-        getattr(star, name).write.mode("overwrite").parquet(f"{directory}/{name}")
+def write_dimension(star: Star, name: str, directory: str) -> None:
+    getattr(star, name).write.mode("overwrite").parquet(f"{directory}/{name}")
 
 
 def write_warehouse(star: Star, directory: str) -> None:
-    write_dimensions(star, directory)
-    write_fact(star.fact_orders, directory)
+    together(
+        lambda: write_fact(star.fact_orders, directory),
+        *[partial(write_dimension, star, name, directory) for name in TABLES[1:]],
+    )
 
 
 def read_warehouse(spark: SparkSession, directory: str) -> Star:
