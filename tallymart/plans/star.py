@@ -221,7 +221,9 @@ def build_dim_date(raw: RawTables) -> DataFrame:
 
 def _keyed_dimensions(raw: RawTables, rules: Rules) -> list[DataFrame]:
     return together(
-        lambda: build_dim_customer(raw, rules), lambda: build_dim_product(raw, rules)
+        raw.orders.sparkSession,
+        lambda: build_dim_customer(raw, rules),
+        lambda: build_dim_product(raw, rules),
     )
 
 

@@ -232,6 +232,7 @@ def with_summaries(star: Star) -> Star:
     """The star with its sums written to the shared folder."""
     base = star._replace(summaries=None)
     stored = together(
+        star.fact_orders.sparkSession,
         lambda: store(daily_totals(base), "daily"),
         lambda: store(customer_totals(base), "customers"),
         lambda: store(product_sums(base), "products"),

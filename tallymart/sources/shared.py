@@ -37,8 +37,8 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(*jobs: Callable):
+def together(spark: SparkSession, *jobs: Callable) -> list:
     """Run independent jobs side by side; a later one uses cores an earlier one leaves idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        started = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         return [job.result() for job in started]

@@ -43,7 +43,8 @@ def write_clean(star: Star, directory: str, fmt: str = "parquet") -> None:
             writer = writer.option("header", True)
         writer.save(f"{directory}/{name}")
 
-    together(*[partial(write, name, df) for name, df in star.tables().items()])
+    jobs = [partial(write, name, df) for name, df in star.tables().items()]
+    together(star.fact_orders.sparkSession, *jobs)
 
 
 def read_clean(spark: SparkSession, directory: str, fmt: str = "parquet") -> Star:
@@ -72,6 +73,7 @@ def write_dimension(star: Star, name: str, directory: str) -> None:
 
 def write_warehouse(star: Star, directory: str) -> None:
     together(
+        star.fact_orders.sparkSession,
         lambda: write_fact(star.fact_orders, directory),
         *[partial(write_dimension, star, name, directory) for name in TABLES[1:]],
     )
