@@ -10,7 +10,6 @@ from tallymart.operators import dense_keys, keep_first
 from tallymart.plans import load, quality
 from tallymart.plans import star as etl
 from tallymart.rules import Rules
-from tallymart.sources.star import Star
 
 from build import item, mapping, order, raw_tables, values
 
