@@ -1,12 +1,14 @@
 """Intermediate tables in the folder all executors share.
 
 Spark names that folder in ``spark.checkpoint.dir``.  A table written there
-cuts the lineage and survives the loss of executors.
+cuts the lineage and survives the loss of executors.  All tables of one
+application lie below one folder, which ``remove_shared`` deletes.
 """
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -15,19 +17,32 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_lock = threading.Lock()
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the shared folder."""
+def _application_dir(spark: SparkSession) -> str:
+    app = spark.conf.get("spark.app.id", "app")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         # One machine is the whole cluster here, as in tests.
-        app = spark.conf.get("spark.app.id", "app")
-        root = _local_roots.setdefault(app, "") or tempfile.mkdtemp(prefix="tallymart-")
-        _local_roots[app] = root
-    return f"{root.rstrip('/')}/tallymart/{label}-{uuid.uuid4().hex}"
+        with _lock:
+            if app not in _local_roots:
+                _local_roots[app] = tempfile.mkdtemp(prefix="tallymart-")
+            root = _local_roots[app]
+    return f"{root.rstrip('/')}/tallymart/{app}"
+
+
+def shared_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder name below the application's part of the shared folder."""
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_shared(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables; frames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
