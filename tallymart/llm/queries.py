@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, votes
+from . import near_dedup, quality, votes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(documents(spark, sf_dir))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_dedup.simhash_groups(documents(spark, sf_dir), shingle=3, radius=2)
     return groups.withColumn("fingerprint", votes.as_hex("fingerprint"))
 
 
-QUERIES = {"op9_simhash_near_dedup": op9_simhash_near_dedup}
+QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
+}
