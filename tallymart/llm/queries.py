@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, quality, votes
+from . import fingerprint, near_dedup, quality, sharding, votes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(documents(spark, sf_dir))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(documents(spark, sf_dir))
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(documents(spark, sf_dir))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_dedup.simhash_groups(documents(spark, sf_dir), shingle=3, radius=2)
     return groups.withColumn("fingerprint", votes.as_hex("fingerprint"))
@@ -23,5 +31,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op6_sharding": op6_sharding,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
