@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import fingerprint, near_dedup, quality, sharding, votes
+from . import bpe, fingerprint, near_dedup, quality, secrets, sharding, votes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(documents(spark, sf_dir), ranks)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(documents(spark, sf_dir))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir))
 
@@ -30,7 +39,9 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
+    "op4_secret_scan": op4_secret_scan,
     "op6_sharding": op6_sharding,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
