@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, near_dedup, quality, secrets, sharding, votes
+from . import bpe, fingerprint, near_dedup, packing, quality, secrets, sharding, votes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", votes.as_hex("fingerprint"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(documents(spark, sf_dir), vocabulary, capacity=2048, end_id=0)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
@@ -45,4 +50,5 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
