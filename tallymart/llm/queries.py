@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, near_dedup, packing, quality, secrets, sharding, votes
+from . import bpe, fingerprint, langid, near_dedup, packing, quality, secrets, sharding, votes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(documents(spark, sf_dir))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
     "op4_secret_scan": op4_secret_scan,
+    "op5_language_id": op5_language_id,
     "op6_sharding": op6_sharding,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
