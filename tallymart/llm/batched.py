@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def by_document(
@@ -21,7 +22,7 @@ def by_document(
     Ids travel as text, because a null among numbers would turn them into floats.
     """
     kind = docs.schema[doc_id].dataType
-    names = [part.split()[0] for part in schema.split(",")]
+    names = StructType.fromDDL(schema).names
 
     def batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -37,6 +38,14 @@ def by_document(
     return made.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def lowered(text: str) -> str:
+    """Lower case, character by character, so that offsets stay."""
+    low = text.lower()
+    if len(low) == len(text):
+        return low
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

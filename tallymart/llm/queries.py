@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, langid, near_dedup, packing, quality, secrets, sharding, votes
+from . import bpe, fingerprint, langid, licenses, near_dedup, packing, quality, secrets, sharding, toxicity, votes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.scored(documents(spark, sf_dir), labels)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
@@ -37,6 +42,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(documents(spark, sf_dir))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_dedup.simhash_groups(documents(spark, sf_dir), shingle=3, radius=2)
     return groups.withColumn("fingerprint", votes.as_hex("fingerprint"))
@@ -50,10 +59,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
     "op6_sharding": op6_sharding,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_license_scan": op8_license_scan,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
