@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,6 +39,18 @@ def by_document(
     return made.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def keep_rows(docs: DataFrame, text: str, keep: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """The rows for whose text ``keep`` says so, all columns untouched; null texts are empty."""
+    at = docs.columns.index(text)
+
+    def batch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            texts = [t or "" for t in part.column(at).to_pylist()]
+            yield part.filter(pa.array(keep(texts), pa.bool_()))
+
+    return docs.mapInArrow(batch, docs.schema)
+
+
 def lowered(text: str) -> str:
     """Lower case, character by character, so that offsets stay."""
     low = text.lower()

@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import store
-from .batched import by_document, fold, lowered, sampled
+from .batched import by_document, fold, keep_rows, lowered, sampled
 
 #: Bounds of the fit: labelled rows of each class, features of the lexicon.
 TRAIN_ROWS, LEXICON = 5000, 3000
 BEGINNINGS = (3, 4, 5, 6, 7)
 WINDOW = 2  # tokens on either side
 NEAREST = 0.9  # share of toxic documents, at equal class sizes, that labels a token
+LIMIT = 0.7  # of the score, from which a document counts as toxic
 TOKEN = re.compile(r"\w+")
 _REACH = 4096  # longer runs without features have forgotten where they began
 
@@ -336,5 +337,19 @@ def scored(
     held = F.coalesce(fold(F.col("doc_id"), folds) == held_fold, F.lit(True))
     return out.select(
         "doc_id", held.alias("held_out"), "score",
-        (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans",
+        (F.col("score") >= LIMIT).cast("int").alias("predicted"), "spans",
     )
+
+
+def keep_clean(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    toxic: str = "toxic",
+    folds: int = 3,
+    held_fold: int = 1,
+) -> DataFrame:
+    """The documents whose score is under the limit, with the columns of ``docs``."""
+    model = train(docs, labels, doc_id, text, toxic, folds, held_fold)
+    return keep_rows(docs, text, lambda texts: [score < LIMIT for score, _ in model.score(texts)])
