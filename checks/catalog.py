@@ -15,6 +15,8 @@ from tallymart.plans import dashboard, insights, kpi, load, quality, questions,
 from tallymart.plans import star as etl
 from tallymart.plans.totals import with_summaries
 from tallymart.rules import DEFAULT_RULES, Rules
+from tallymart.sources.driver_tables import broken_star
+from tallymart.sources.raw import RAW_FILES, RawTables, read_raw_csv
 from tallymart.sources.shared import shared_dir
 from tallymart.sources.star import (
     Star,
@@ -73,19 +75,56 @@ def surrogate_keys(raw) -> DataFrame:
     return dense_keys(etl.unique_customers(raw).select("customer_id"), "customer_id", "customer_key")
 
 
-def clean_csv_round_trip(raw) -> DataFrame:
-    directory = shared_dir(raw.orders.sparkSession, "clean")
-    write_clean(etl.build_clean(raw), directory, "csv")
-    return read_clean(raw.orders.sparkSession, directory, "csv").fact_orders
+def broken(plan: Callable) -> Query:
+    return lambda spark, sf_dir: comparable(plan(broken_star(stars.star(spark, sf_dir, "plain"))))
 
 
-def warehouse_load(raw) -> DataFrame:
-    """Clean zone to files, key mapping, warehouse to files, and the fact read back."""
+def raw_csv(raw) -> RawTables:
+    """The raw tables written as CSV files and read back by the package's reader."""
     spark = raw.orders.sparkSession
-    clean_dir, warehouse_dir = shared_dir(spark, "clean"), shared_dir(spark, "warehouse")
-    write_clean(etl.build_clean(raw), clean_dir)
-    write_warehouse(load.load_star(read_clean(spark, clean_dir)), warehouse_dir)
-    return read_warehouse(spark, warehouse_dir).fact_orders
+    directory = shared_dir(spark, "raw")
+    for name, df in raw._asdict().items():
+        df.write.option("header", True).csv(f"{directory}/{RAW_FILES[name]}")
+    return read_raw_csv(spark, directory)
+
+
+def clean_csv_table(table: str) -> Callable:
+    def back(raw) -> DataFrame:
+        spark, directory = raw.orders.sparkSession, shared_dir(raw.orders.sparkSession, "clean")
+        write_clean(etl.build_clean(raw), directory, "csv")
+        return getattr(read_clean(spark, directory, "csv"), table)
+
+    return back
+
+
+def warehouse_table(table: str) -> Callable:
+    """A table after the clean zone and the warehouse, both as Parquet files."""
+
+    def back(raw) -> DataFrame:
+        spark = raw.orders.sparkSession
+        clean_dir, warehouse_dir = shared_dir(spark, "clean"), shared_dir(spark, "warehouse")
+        write_clean(etl.build_clean(raw), clean_dir)
+        write_warehouse(load.load_star(read_clean(spark, clean_dir)), warehouse_dir)
+        return getattr(read_warehouse(spark, warehouse_dir), table)
+
+    return back
+
+
+def payload_part(select: Callable) -> Callable:
+    """A part of the payload after it was written and parsed."""
+
+    def back(star: Star) -> DataFrame:
+        spark = star.fact_orders.sparkSession
+        path = shared_dir(spark, "payload")
+        dashboard.write_payload(star, path)
+        return select(dashboard.read_payload(spark, path, star))
+
+    return back
+
+
+def _channels(payload: DataFrame) -> DataFrame:
+    fields = payload.schema["channels"].dataType.names
+    return payload.select(F.inline(F.arrays_zip(*[F.col(f"channels.{c}") for c in fields])))
 
 
 def dimension_lookup(star: Star) -> DataFrame:
@@ -149,9 +188,9 @@ QUERIES: dict[str, Query] = {
     "etl_audit_graded": _on_raw("graded", quality.etl_audit),
     "dim_profile": _on_star("graded", quality.dimension_profile),
     # sinks, load, validation
-    "clean_csv_round_trip": _on_raw("plain", clean_csv_round_trip),
+    "clean_csv_round_trip": _on_raw("plain", clean_csv_table("fact_orders")),
     "fact_key_lookup": _on_raw("plain", lambda raw: load.load_fact(etl.build_clean(raw))),
-    "warehouse_load": _on_raw("graded", warehouse_load),
+    "warehouse_load": _on_raw("graded", warehouse_table("fact_orders")),
     "dimension_lookup": _on_star("graded", dimension_lookup),
     "sql_category_status": _on_star("graded", sql_category_status),
     "warehouse_row_counts": _on_star("plain", quality.row_counts),
@@ -160,6 +199,32 @@ QUERIES: dict[str, Query] = {
     "dq_unique": _on_star("plain", quality.duplicate_keys),
     "dq_domain": _on_star("plain", quality.domain_violations),
     "warehouse_validation": _on_star("graded", quality.validation_report),
+    # the same checks where there is something to find
+    "broken_orphan_counts": broken(quality.orphan_counts),
+    "broken_not_null": broken(quality.null_counts),
+    "broken_unique": broken(quality.duplicate_keys),
+    "broken_domain": broken(quality.domain_violations),
+    "broken_validation": broken(quality.validation_report),
+    # copies with nulls in them change nothing
+    "dedup_null_copies": _on_raw("copied", etl.build_fact),
+    "dedup_null_copies_customer": lambda spark, sf_dir: comparable(
+        etl.build_dim_customer(
+            stars.raw(spark, sf_dir, "copied")._replace(
+                orders=stars.raw(spark, sf_dir, "plain").orders
+            )
+        )
+    ),
+    "dedup_null_copies_product": _on_raw("copied", etl.translated_products),
+    # files
+    "raw_csv_build": _on_raw("plain", lambda raw: etl.build_fact(raw_csv(raw))),
+    "raw_csv_dim_customer": _on_raw("plain", lambda raw: etl.build_dim_customer(raw_csv(raw))),
+    "raw_csv_dim_product": _on_raw("plain", lambda raw: etl.build_dim_product(raw_csv(raw))),
+    "clean_csv_dim_customer": _on_raw("plain", clean_csv_table("dim_customer")),
+    "clean_csv_dim_product": _on_raw("plain", clean_csv_table("dim_product")),
+    "clean_csv_dim_date": _on_raw("plain", clean_csv_table("dim_date")),
+    "warehouse_dim_customer": _on_raw("graded", warehouse_table("dim_customer")),
+    "warehouse_dim_product": _on_raw("graded", warehouse_table("dim_product")),
+    "warehouse_dim_date": _on_raw("graded", warehouse_table("dim_date")),
     # KPI reports
     "kpi_revenue": _on_star("graded", kpi.revenue),
     "kpi_success_rate": _on_star("graded", kpi.success_rate),
@@ -196,14 +261,19 @@ QUERIES: dict[str, Query] = {
     "insight_retention": _on_star("graded", lambda s: insights.customer_retention(s, WATCHFUL)),
     "insight_category_review": _on_star("graded", insights.category_review),
     "insight_top_category": _on_star("graded", insights.top_category),
-    "insights_all": _on_summaries(insights.generate),
-    "insights_summary": _on_summaries(lambda s: insights.summary(insights.generate(s))),
+    "insights_all": _on_star("graded", insights.generate),
+    "insights_summary": _on_star("graded", lambda s: insights.summary(insights.generate(s))),
     # dashboard
     "summaries_daily": _on_star("graded", totals.daily_totals),
     "summaries_customers": _on_star("graded", totals.customer_totals),
     "summaries_products": _on_star("graded", totals.product_totals),
     "dashboard_payload": _on_summaries(dashboard.payload_json),
     "payload_round_trip": _on_summaries(payload_round_trip),
+    "payload_customers": _on_summaries(
+        payload_part(lambda payload: payload.select(F.inline("top_customers")))
+    ),
+    "payload_channels": _on_summaries(payload_part(_channels)),
+    "payload_insights": _on_summaries(payload_part(lambda p: p.select(F.inline("insights")))),
     "dash_low_margin": _table(kpi.category_performance, dashboard.low_margin_table),
     "dash_top_categories": _table(kpi.category_performance, dashboard.top_categories),
     "dash_category_bubble": _table(kpi.category_performance, dashboard.category_bubbles),
@@ -211,5 +281,5 @@ QUERIES: dict[str, Query] = {
     "dash_channel_tier": _table(kpi.channel_performance, dashboard.channel_tiers),
     "dash_segment_share": _table(kpi.customer_segments, dashboard.segment_share),
     "dash_customer_rank": _table(kpi.top_customers, dashboard.customer_rank),
-    "dash_insight_feed": _on_summaries(lambda s: dashboard.insight_feed(insights.generate(s))),
+    "dash_insight_feed": _on_star("graded", lambda s: dashboard.insight_feed(insights.generate(s))),
 }

@@ -487,7 +487,41 @@ _VALIDATION = f"""SELECT 'row_count' AS check_name, table_name, '*' AS subject,
 UNION ALL SELECT 'orphans', table_name, foreign_key, orphans FROM ({_ORPHANS})
 UNION ALL SELECT 'nulls', table_name, column_name, null_rows FROM ({_NULLS})
 UNION ALL SELECT 'duplicates', table_name, key_columns, extra_rows FROM ({_DUPLICATES})
-UNION ALL SELECT 'domain', table_name, column_name, bad_rows FROM ({_DOMAINS})"""
+UNION ALL SELECT 'domain', table_name, column_name, bad_rows FROM ({_DOMAINS})
+UNION ALL SELECT 'mixed_orders', 'fact_orders', 'order_id', count(*) FROM (
+ SELECT order_id FROM fact_orders GROUP BY order_id
+ HAVING count(DISTINCT (order_date_key, customer_key, payment_status, channel)) > 1)"""
+
+# A star with every kind of fault; sources.driver_tables.broken_star makes the same.
+_BROKEN = [
+    """b_fact AS (SELECT order_id,
+  CASE WHEN order_id % 17 = 0 THEN 19000101 ELSE order_date_key END AS order_date_key,
+  CASE WHEN order_id % 11 = 0 THEN -customer_key ELSE customer_key END AS customer_key,
+  CASE WHEN order_id % 13 = 0 THEN NULL ELSE product_key END AS product_key, quantity,
+  CASE WHEN order_id % 19 = 0 THEN NULL ELSE revenue_c END AS revenue_c, cost_c, profit_c,
+  CASE WHEN product_key % 23 = 0 THEN 'Refunded' ELSE payment_status END AS payment_status, channel
+ FROM fact_orders)""",
+    """b_customer AS (SELECT customer_key,
+  CASE WHEN customer_key % 29 = 0 THEN NULL ELSE customer_id END AS customer_id, country, signup_date,
+  CASE WHEN customer_key % 7 = 0 THEN 'Gold' ELSE segment END AS segment FROM dim_customer
+ UNION ALL SELECT * FROM dim_customer WHERE customer_key % 31 = 0)""",
+    """b_product AS (SELECT product_key,
+  CASE WHEN product_key % 37 = 0 THEN NULL ELSE product_id END AS product_id, category, brand,
+  unit_cost_c, unit_price_c FROM dim_product WHERE product_key % 41 <> 0)""",
+    """b_date AS (SELECT date_key, date, year, month, quarter,
+  CASE WHEN date_key % 100 = 1 THEN NULL ELSE weekday END AS weekday FROM dim_date
+ UNION ALL SELECT * FROM dim_date WHERE date_key % 100 = 2)""",
+]
+
+
+def _broken(select: str) -> str:
+    return _with(
+        "plain",
+        f"""SELECT * FROM (WITH fact_orders AS (SELECT * FROM b_fact),
+ dim_customer AS (SELECT * FROM b_customer), dim_product AS (SELECT * FROM b_product),
+ dim_date AS (SELECT * FROM b_date) {select})""",
+        *_BROKEN,
+    )
 
 
 def _audit(raw_customers: str) -> str:
@@ -522,6 +556,20 @@ UNION ALL SELECT 'last_date', CAST(max(date) AS VARCHAR) FROM dim_date"""
 _DIM_PRODUCT = f"""SELECT product_key, product_id, category, brand,
  {money('unit_cost_c')} AS unit_cost, {money('unit_price_c')} AS unit_price FROM dim_product"""
 
+# From CSV files, ids are text, and dense keys follow the order of the text.
+_CSV_FACT = f"""SELECT CAST(order_id AS VARCHAR) AS order_id, order_date,
+ CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id,
+ {_FACT_OUT} FROM clean_fact"""
+_PRODUCT_MONEY = f"{money('unit_cost_c')} AS unit_cost, {money('unit_price_c')} AS unit_price"
+_CSV_CUSTOMER = """SELECT row_number() OVER (ORDER BY CAST(customer_id AS VARCHAR)) AS customer_key,
+ CAST(customer_id AS VARCHAR) AS customer_id, country, signup_date, segment FROM dim_customer"""
+_CSV_PRODUCT = f"""SELECT row_number() OVER (ORDER BY CAST(product_id AS VARCHAR)) AS product_key,
+ CAST(product_id AS VARCHAR) AS product_id, category, brand, {_PRODUCT_MONEY} FROM dim_product"""
+_CSV_CUSTOMER_KEYS = """SELECT customer_key, CAST(customer_id AS VARCHAR) AS customer_id, country,
+ signup_date, segment FROM dim_customer"""
+_CSV_PRODUCT_KEYS = f"""SELECT product_key, CAST(product_id AS VARCHAR) AS product_id, category, brand,
+ {_PRODUCT_MONEY} FROM dim_product"""
+
 _CHANNEL_FAILURE = f"""SELECT channel, count(*) AS total_orders, {_PAID} AS successful_orders,
  {_FAILED} AS failed_orders, {pct(_FAILED, 'count(*)')} AS failure_rate_pct,
  {money(_PAID_R)} AS successful_revenue, {money(_LOST_R)} AS lost_revenue,
@@ -610,11 +658,7 @@ ORACLE: dict[str, str] = {
         _audit("SELECT count(*) FROM customer LEFT JOIN orders ON o_custkey = c_custkey")
     ),
     "dim_profile": _graded(_PROFILE),
-    "clean_csv_round_trip": _plain(
-        f"""SELECT CAST(order_id AS VARCHAR) AS order_id, order_date,
- CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id,
- {_FACT_OUT} FROM clean_fact"""
-    ),
+    "clean_csv_round_trip": _plain(_CSV_FACT),
     "fact_key_lookup": _plain(_KEYED_FACT),
     "warehouse_load": _graded(_KEYED_FACT),
     "dimension_lookup": _graded("SELECT customer_key, customer_id FROM dim_customer"),
@@ -628,6 +672,35 @@ ORACLE: dict[str, str] = {
     "dq_unique": _plain(_DUPLICATES),
     "dq_domain": _plain(_DOMAINS),
     "warehouse_validation": _graded(_VALIDATION),
+    "broken_orphan_counts": _broken(_ORPHANS),
+    "broken_not_null": _broken(_NULLS),
+    "broken_unique": _broken(_DUPLICATES),
+    "broken_domain": _broken(_DOMAINS),
+    "broken_validation": _broken(_VALIDATION),
+    # Copies with nulls change nothing: the SQL reads the tables without them.
+    "dedup_null_copies": _plain(_CLEAN_FACT),
+    "dedup_null_copies_customer": _plain("SELECT * FROM dim_customer"),
+    "dedup_null_copies_product": _plain("SELECT * FROM categories"),
+    # Repeated items keep the first by product id, which is text here.
+    "raw_csv_build": _plain(_CSV_FACT).replace(
+        "ORDER BY product_id, price_c", "ORDER BY CAST(product_id AS VARCHAR), price_c"
+    ),
+    "raw_csv_dim_customer": _plain(_CSV_CUSTOMER),
+    "raw_csv_dim_product": _plain(_CSV_PRODUCT),
+    "clean_csv_dim_customer": _plain(_CSV_CUSTOMER_KEYS),
+    "clean_csv_dim_product": _plain(_CSV_PRODUCT_KEYS),
+    "clean_csv_dim_date": _plain("SELECT * FROM dim_date"),
+    "warehouse_dim_customer": _graded("SELECT * FROM dim_customer"),
+    "warehouse_dim_product": _graded(_DIM_PRODUCT),
+    "warehouse_dim_date": _graded("SELECT * FROM dim_date"),
+    "payload_customers": _graded(_top_customers()),
+    "payload_channels": _graded(
+        f"""SELECT channel, total_orders, successful_orders, revenue,
+ failure_rate_pct AS failure_rate FROM ({_CHANNEL_REPORT})"""
+    ),
+    "payload_insights": _graded(
+        "SELECT type, category, title, message, severity FROM insights", _all_rules()
+    ),
     "kpi_revenue": _graded(
         f"""SELECT {money(_SUM_R)} AS total_revenue, {money(_SUM_P)} AS total_profit,
  {_MARGIN} AS profit_margin_pct FROM sales"""

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tallymart.plans.star import build_star
-from tallymart.sources.driver_tables import graded_raw, plain_raw
+from tallymart.sources.driver_tables import copied_raw, graded_raw, plain_raw
 from tallymart.sources.raw import RawTables
 from tallymart.sources.shared import shared_dir
 from tallymart.sources.star import Star, read_warehouse, write_warehouse
 
-RAW = {"plain": plain_raw, "graded": graded_raw}
+RAW = {"plain": plain_raw, "copied": copied_raw, "graded": graded_raw}
 _built: dict[tuple[str, str, str], Star] = {}
 
 

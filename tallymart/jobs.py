@@ -1,18 +1,9 @@
-"""The jobs, as functions and for spark-submit.
-
-    spark-submit tallymart/jobs.py build  RAW_DIR WAREHOUSE_DIR [--report]
-    spark-submit tallymart/jobs.py etl    RAW_DIR CLEAN_DIR [--report]
-    spark-submit tallymart/jobs.py load   CLEAN_DIR WAREHOUSE_DIR [--report]
-    spark-submit tallymart/jobs.py export WAREHOUSE_DIR PAYLOAD_DIR
-
-``build`` goes from the raw tables to the warehouse at once; ``etl`` and ``load``
-do the same in two steps with the clean zone between them.  ``--report`` also computes and prints the audit or the validation, which read
-the data once more.
-"""
+"""The jobs, as functions and from a command line (see ``job.py`` beside the package)."""
 
 from __future__ import annotations
 
-import sys
+import argparse
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +14,7 @@ from tallymart.plans.totals import with_summaries
 from tallymart.rules import DEFAULT_RULES, Rules
 from tallymart.session import session
 from tallymart.sources.raw import read_raw_csv, read_raw_parquet
+from tallymart.sources.shared import remove_shared
 from tallymart.sources.star import read_clean, read_warehouse, write_clean, write_warehouse
 
 
@@ -63,16 +55,41 @@ def run_export(
     dashboard.write_payload(star, payload_dir, rules)
 
 
-def main(argv: list[str]) -> None:
-    job, source, target, *options = argv
-    spark = session(f"tallymart-{job}")
-    if job == "export":
-        run_export(spark, source, target)
-    else:
-        report = {"build": run_build, "etl": run_etl, "load": run_load}[job](spark, source, target)
-        if "--report" in options:
-            report.show(100, truncate=False)
+def arguments(argv: list[str]) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(prog="job.py", description=__doc__)
+    parser.add_argument("job", choices=("build", "etl", "load", "export"))
+    parser.add_argument("source")
+    parser.add_argument("target")
+    parser.add_argument(
+        "--shuffle-partitions", type=int, required=True,
+        help="about the input size divided by 256 MB; Spark's own default does not grow",
+    )
+    parser.add_argument("--raw-format", choices=("csv", "parquet"), default="csv")
+    parser.add_argument("--clean-format", choices=("csv", "parquet"), default="parquet")
+    parser.add_argument("--rules", help="a JSON file with rules that differ from the defaults")
+    parser.add_argument("--report", action="store_true", help="print the audit or the validation")
+    return parser.parse_args(argv)
 
 
-if __name__ == "__main__":
-    main(sys.argv[1:])
+def main(argv: list[str]) -> None:
+    given = arguments(argv)
+    rules = Rules.from_json(Path(given.rules).read_text()) if given.rules else DEFAULT_RULES
+    spark = session(f"tallymart-{given.job}")
+    spark.conf.set("spark.sql.shuffle.partitions", str(given.shuffle_partitions))
+    try:
+        report = None
+        if given.job == "build":
+            report = run_build(spark, given.source, given.target, rules, given.raw_format)
+        elif given.job == "etl":
+            report = run_etl(
+                spark, given.source, given.target, rules, given.raw_format, given.clean_format
+            )
+        elif given.job == "load":
+            report = run_load(spark, given.source, given.target, given.clean_format)
+        else:
+            run_export(spark, given.source, given.target, rules)
+        if given.report and report is not None:
+            report.show(100, truncate=False)
+    finally:
+        remove_shared(spark)
+        spark.stop()

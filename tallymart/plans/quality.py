@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import unpivot_counts
@@ -74,10 +74,10 @@ def null_counts(star: Star) -> DataFrame:
     ).select("table_name", "column_name", "null_rows")
 
 
-def duplicate_keys(star: Star) -> DataFrame:
+def duplicate_keys(star: Star, unique: list[tuple[str, list[str]]] = UNIQUE) -> DataFrame:
     """Per unique key: key values that occur more than once, and the rows beyond the first."""
     parts = []
-    for table, keys in UNIQUE:
+    for table, keys in unique:
         repeated = (
             getattr(star, table).groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
         )
@@ -109,34 +109,94 @@ def domain_violations(star: Star) -> DataFrame:
 
 def _counters(star: Star, table: str) -> DataFrame:
     """Rows, nulls and domain violations of a table in one pass, as report rows."""
-    counters = {("row_count", "*"): F.count("*")}
+    counted = [value.alias(name) for name, value in _counter_columns(table).items()]
+    return _report_rows(getattr(star, table).agg(*counted))
+
+
+def _counter_columns(table: str) -> dict[str, Column]:
+    counters = {f"row_count/{table}/*": F.count("*")}
     for column in NOT_NULL[table]:
-        counters["nulls", column] = F.count_if(F.col(column).isNull())
+        counters[f"nulls/{table}/{column}"] = F.count_if(F.col(column).isNull())
     for owner, column, allowed in DOMAIN:
         if owner == table:
-            counters["domain", column] = F.count_if(~F.col(column).isin(allowed))
-    named = [value.alias(f"{check}/{subject}") for (check, subject), value in counters.items()]
-    name = F.split("name", "/")
-    return unpivot_counts(getattr(star, table).agg(*named), "name", "n").select(
-        name[0].alias("check_name"), F.lit(table).alias("table_name"), name[1].alias("subject"), "n"
-    )
+            counters[f"domain/{table}/{column}"] = F.count_if(~F.col(column).isin(allowed))
+    return counters
 
 
 def validation_report(star: Star) -> DataFrame:
-    """All checks in one shape: what was checked, on what, and how many."""
-    orphans = orphan_counts(star).select(
-        F.lit("orphans").alias("check_name"),
-        "table_name",
-        F.col("foreign_key").alias("subject"),
-        F.col("orphans").alias("n"),
-    )
-    duplicates = duplicate_keys(star).select(
+    """All checks in one shape: what was checked, on what, and how many.
+
+    The fact is read twice, once per key and once per order.
+    """
+    tables = [_counters(star, table) for table in NOT_NULL if table != "fact_orders"]
+    duplicates = duplicate_keys(star, [u for u in UNIQUE if u[0] != "fact_orders"]).select(
         F.lit("duplicates").alias("check_name"),
         "table_name",
         F.col("key_columns").alias("subject"),
         F.col("extra_rows").alias("n"),
     )
-    return _union([*[_counters(star, table) for table in NOT_NULL], orphans, duplicates])
+    return _union([*tables, duplicates, _fact_by_key(star), _fact_by_order(star)])
+
+
+def _fact_by_key(star: Star) -> DataFrame:
+    """The fact's counters and orphans in one pass.
+
+    Each row stands once under every foreign key, so what is counted under the
+    first one is counted once per row.
+    """
+    counted = {name: value for name, value in _counter_columns("fact_orders").items()}
+    keys = F.array(
+        *(
+            F.struct(F.lit(i).alias("fk"), F.col(column).cast("bigint").alias("key"))
+            for i, (column, _, _) in enumerate(FOREIGN_KEYS)
+        )
+    )
+    stood = star.fact_orders.select("*", F.inline(keys))
+    per_key = stood.groupBy("fk", "key").agg(
+        F.count("*").alias("rows"), *(value.alias(name) for name, value in counted.items())
+    )
+    known = _union(
+        [
+            getattr(star, table).select(
+                F.lit(i).alias("fk"), F.col(key).cast("bigint").alias("key"), F.lit(1).alias("known")
+            )
+            for i, (_, table, key) in enumerate(FOREIGN_KEYS)
+        ]
+    ).distinct()
+    first, missing = F.col("fk") == 0, F.col("known").isNull()
+    sums = {name: F.when(first, F.col(name)) for name in counted}
+    for i, (column, table, _) in enumerate(FOREIGN_KEYS):
+        sums[f"orphans/{table}/{column}"] = F.when((F.col("fk") == i) & missing, F.col("rows"))
+    total = per_key.join(known, ["fk", "key"], "left").agg(
+        *(F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in sums.items())
+    )
+    return _report_rows(total)
+
+
+def _fact_by_order(star: Star) -> DataFrame:
+    """Repeated (order, product) pairs, and orders that disagree on what an order has one of."""
+    ((_, pair),) = [u for u in UNIQUE if u[0] == "fact_orders"]
+    head = F.xxhash64("order_date_key", "customer_key", "payment_status", "channel")
+    pairs = star.fact_orders.groupBy(*pair).agg(
+        F.count("*").alias("n"), F.min(head).alias("low"), F.max(head).alias("high")
+    )
+    orders = pairs.groupBy("order_id").agg(
+        F.sum(F.col("n") - 1).alias("extra"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    return _report_rows(
+        orders.agg(
+            F.coalesce(F.sum("extra"), F.lit(0)).alias(f"duplicates/fact_orders/{', '.join(pair)}"),
+            F.count_if(F.col("low") != F.col("high")).alias("mixed_orders/fact_orders/order_id"),
+        )
+    )
+
+
+def _report_rows(counts: DataFrame) -> DataFrame:
+    """One row of counters named check/table/subject as report rows."""
+    name = F.split("name", "/")
+    return unpivot_counts(counts, "name", "n").select(
+        name[0].alias("check_name"), name[1].alias("table_name"), name[2].alias("subject"), "n"
+    )
 
 
 # -- ETL ---------------------------------------------------------------------

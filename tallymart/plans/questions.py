@@ -17,6 +17,7 @@ from .totals import (
     channel_totals,
     dated,
     margin,
+    order_categories,
     orders_of,
     paid_items,
     product_totals,
@@ -189,14 +190,20 @@ def category_mix(star: Star) -> DataFrame:
     The order share is taken of all distinct orders, so shares may add up to
     more than 100: an order counts in each of its categories.
     """
-    whole = paid_items(star)
-    all_orders = whole.agg(F.countDistinct("order_id")).scalar()
-    all_revenue = whole.agg(F.sum("revenue")).scalar()
+    # One pass by (category, order) serves the categories and, from the same
+    # exchange, the totals; a sale of an unknown product counts in these only.
+    sales = order_categories(star)
+    whole = sales.agg(
+        F.struct(F.countDistinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
+    ).scalar()
     products = category_totals(star).select("category", F.col("products").alias("product_count"))
+    categories = (
+        sales.groupBy("category")
+        .agg(F.count("*").alias("orders"), F.sum("revenue").alias("revenue"))
+        .withColumns({"_all_orders": whole["orders"], "_all_revenue": whole["revenue"]})
+    )
     return (
-        category_orders(star)
-        .join(products, "category")
-        .withColumns({"_all_orders": all_orders, "_all_revenue": all_revenue})
+        categories.join(products, "category")
         .select(
             "category",
             "product_count",

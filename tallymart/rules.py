@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, fields
 from decimal import Decimal
 
 
@@ -25,6 +26,16 @@ class Rules:
     category_api_limit: int = 15
     customer_limit: int = 10
 
+    @classmethod
+    def from_json(cls, text: str) -> Rules:
+        """The defaults with the values of a JSON object in their place; unknown names are errors."""
+        given = json.loads(text, parse_float=Decimal)
+        kinds = {f.name: type(f.default) for f in fields(cls)}
+        unknown = sorted(set(given) - set(kinds))
+        if unknown:
+            raise ValueError(f"no such rules: {', '.join(unknown)}")
+        return cls(**{name: kinds[name](value) for name, value in given.items()})
+
     @property
     def low_margin_pct(self) -> Decimal:
         return self.low_margin * 100

@@ -1,6 +1,7 @@
 """The test tables as raw input (see FIXTURES.md).
 
-Two mappings.  ``plain_raw`` keeps the tables as they are; ``graded_raw`` grades
+Three mappings.  ``plain_raw`` keeps the tables as they are; ``copied_raw`` adds broken
+copies; ``graded_raw`` grades
 order failures by channel and product costs by brand, so that every tier, alert
 and drop rule has something to act on.  Both read the whole tables.
 """
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import MONEY
 from .raw import RawTables
+from .star import Star
 
 # Fixed values of the mapping.
 PAYMENT_BY_PRIORITY = {
@@ -123,6 +125,62 @@ def plain_raw(spark: SparkSession, sf_dir: str) -> RawTables:
     )
 
 
+def copied_raw(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The plain tables with broken copies beside them, that a dedup has to pass over.
+
+    A third of the items again without product and price, a fifth of the orders
+    without purchase time and status, a seventh of the customers without state and
+    city, a half of the products without category.
+    """
+    raw = plain_raw(spark, sf_dir)
+
+    def with_copies(df: DataFrame, every: int, key: str, lost: list[str]) -> DataFrame:
+        copies = df.where(F.col(key) % every == 0)
+        return df.unionByName(
+            copies.withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in lost})
+        )
+
+    return raw._replace(
+        order_items=with_copies(raw.order_items, 3, "order_id", ["product_id", "price"]),
+        orders=with_copies(raw.orders, 5, "order_id", ["order_purchase_timestamp", "order_status"]),
+        customers=with_copies(raw.customers, 7, "customer_id", ["customer_state", "customer_city"]),
+        products=with_copies(raw.products, 2, "product_id", ["product_category_name"]),
+    )
+
+
+def broken_star(star: Star) -> Star:
+    """A star with orphans, nulls, repeated keys, foreign labels and orders of two customers."""
+
+    def lost(when: Column, name: str, instead=None) -> Column:
+        return F.when(when, F.lit(instead)).otherwise(F.col(name))
+
+    order, customer, product = F.col("order_id"), F.col("customer_key"), F.col("product_key")
+    first, second = F.col("date_key") % 100 == 1, F.col("date_key") % 100 == 2
+    return star._replace(
+        fact_orders=star.fact_orders.withColumns(
+            {
+                "order_date_key": lost(order % 17 == 0, "order_date_key", 19000101),
+                "customer_key": F.when(order % 11 == 0, -customer).otherwise(customer),
+                "product_key": lost(order % 13 == 0, "product_key"),
+                "revenue": lost(order % 19 == 0, "revenue"),
+                "payment_status": lost(product % 23 == 0, "payment_status", "Refunded"),
+            }
+        ),
+        dim_customer=star.dim_customer.withColumns(
+            {
+                "customer_id": lost(customer % 29 == 0, "customer_id"),
+                "segment": lost(customer % 7 == 0, "segment", "Gold"),
+            }
+        ).unionByName(star.dim_customer.where(customer % 31 == 0)),
+        dim_product=star.dim_product.where(product % 41 != 0).withColumn(
+            "product_id", lost(product % 37 == 0, "product_id")
+        ),
+        dim_date=star.dim_date.withColumn("weekday", lost(first, "weekday")).unionByName(
+            star.dim_date.where(second)
+        ),
+    )
+
+
 def graded_raw(spark: SparkSession, sf_dir: str) -> RawTables:
     """Graded failures and margins.
 

@@ -24,7 +24,8 @@ def _application_dir(spark: SparkSession) -> str:
     app = spark.conf.get("spark.app.id", "app")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+        master = spark.conf.get("spark.master", None) or ""
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         # One machine is the whole cluster here, as in tests.
         with _lock:

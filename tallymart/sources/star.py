@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from functools import partial
 from typing import NamedTuple
 
@@ -31,6 +33,7 @@ class Star(NamedTuple):
         return {name: getattr(self, name) for name in TABLES}
 
 
+_CURRENT, _VERSION = "CURRENT", "version-"
 TABLES = ("fact_orders", "dim_customer", "dim_product", "dim_date")
 
 
@@ -71,16 +74,59 @@ def write_dimension(star: Star, name: str, directory: str) -> None:
     getattr(star, name).write.mode("overwrite").parquet(f"{directory}/{name}")
 
 
-def write_warehouse(star: Star, directory: str) -> None:
+def write_warehouse(star: Star, directory: str, keep: int = 2) -> None:
+    """Replace the warehouse as a whole.
+
+    The tables are written to a folder of their own; the file CURRENT, which names
+    that folder, is switched last.  A job that fails leaves the old star in place,
+    and a reader never sees keys of one build beside dimensions of another.  The
+    newest ``keep`` versions stay, for readers that have begun.
+    """
+    spark = star.fact_orders.sparkSession
+    version = f"{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    target = f"{directory}/{version}"
     together(
-        star.fact_orders.sparkSession,
-        lambda: write_fact(star.fact_orders, directory),
-        *[partial(write_dimension, star, name, directory) for name in TABLES[1:]],
+        spark,
+        lambda: write_fact(star.fact_orders, target),
+        *[partial(write_dimension, star, name, target) for name in TABLES[1:]],
     )
+    _switch(spark, directory, version)
+    _drop_old(spark, directory, keep)
 
 
 def read_warehouse(spark: SparkSession, directory: str) -> Star:
-    return Star(**{name: _read(spark, directory, name, "parquet", WAREHOUSE) for name in TABLES})
+    """The star of the version that CURRENT names now."""
+    version = spark.read.text(f"{directory}/{_CURRENT}").first()[0]
+    folder = f"{directory}/{version}"
+    return Star(**{name: _read(spark, folder, name, "parquet", WAREHOUSE) for name in TABLES})
+
+
+def _paths(spark: SparkSession, directory: str):
+    """Hadoop's Path class, the folder's file context, and Spark's configuration."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    return path, jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(directory).toUri(), conf), conf
+
+
+def _switch(spark: SparkSession, directory: str, version: str) -> None:
+    """Put a new CURRENT in the place of the old one, by a rename."""
+    path, context, conf = _paths(spark, directory)
+    fresh = path(f"{directory}/.{_CURRENT}-{version}")
+    out = fresh.getFileSystem(conf).create(fresh, True)
+    out.write(bytearray(f"{version}\n".encode()))
+    out.close()
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(fresh, path(f"{directory}/{_CURRENT}"), options)
+
+
+def _drop_old(spark: SparkSession, directory: str, keep: int) -> None:
+    path, _, conf = _paths(spark, directory)
+    files = path(directory).getFileSystem(conf)
+    names = [s.getPath().getName() for s in files.listStatus(path(directory))]
+    for name in sorted(n for n in names if n.startswith(_VERSION))[:-keep]:
+        files.delete(path(f"{directory}/{name}"), True)
 
 
 def register_views(star: Star) -> None:
