@@ -1,3 +1,81 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+Missing are those that need XXH64 (fingerprints), a tokenizer, a trained model, an
+alignment, or the word boundaries of Java's patterns (linked secrets); their tests
+hold them against brute force, libraries or held-out labels.
+"""
+
+_BLANK = r"[\x20\x09-\x0D]"
+
+# Windows of a text are told apart by the text and the row, so repeated rows stay apart.
+_QUALITY = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT r, doc_id, text,
+    list_filter(regexp_split_to_array(text, '{_BLANK}+'), lambda w: w <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts),
+places AS (
+  SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM split),
+windows AS (
+  SELECT r, i, list_aggregate(words[i : i + 7], 'string_agg', ' ') AS gram FROM places),
+twice AS (
+  SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT r, sum(least(8, coalesce(following - i, 8))) AS n FROM twice GROUP BY r),
+measured AS (
+  SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+    len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS n_stutters
+  FROM split s LEFT JOIN covered c ON c.r = s.r),
+based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+    OR 5 * n_stutters > n_words OR word_chars < 2 * n_words OR word_chars > 40 * n_words) AS kept
+FROM based"""
+
+
+def _bid(salt: str) -> str:
+    return f"CAST('0x' || substr(md5({salt} || ':' || key), 1, 13) AS BIGINT)"
+
+
+def _crc_of_byte(value: int) -> int:
+    """Eight shifts, each with the polynomial where a bit falls out."""
+    for _ in range(8):
+        value = value >> 1 ^ 3988292384 * (value & 1)
+    return value
+
+
+# CRC-32 byte by byte.
+_CRC = f"""xor(list_reduce(list_transform(range(length(hexed) // 2),
+  lambda i: CAST('0x' || substr(hexed, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)),
+  lambda c, b: xor(c >> 8, {[_crc_of_byte(b) for b in range(256)]}[(xor(c, b) & 255) + 1]),
+  4294967295::BIGINT), 4294967295)"""
+
+
+def _winner(shards: int) -> str:
+    return f"""list_min(list_transform(range({shards}), lambda s:
+  {{'bid': -ln((CAST({_bid('s')} AS DOUBLE) + 0.5) / 4503599627370496), 'shard': s}})).shard"""
+
+
+_SHARDS = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key,
+    hex(encode(coalesce(text, ''))) AS hexed FROM documents),
+rows_ AS (
+  SELECT doc_id, CAST(length(hexed) // 2 + 16 AS BIGINT) AS size, {_CRC} AS text_crc32,
+    CAST({_winner(40)} AS INTEGER) AS shard, CAST({_winner(41)} AS INTEGER) AS grown_shard,
+    {_bid("'bucket'")} % 256 AS bucket
+  FROM texts)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot,
+  grown_shard
+FROM rows_"""
+
+ORACLE: dict[str, str] = {"op2_quality_rules": _QUALITY, "op6_sharding": _SHARDS}
