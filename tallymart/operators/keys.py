@@ -1,4 +1,7 @@
-"""Dense surrogate keys without funnelling the table through one task."""
+"""Dense surrogate keys without funnelling the table through one task.
+
+Rows with equal ids get different keys, in the order in which they are stored.
+"""
 
 from __future__ import annotations
 

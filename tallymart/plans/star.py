@@ -1,9 +1,10 @@
 """Raw tables to star schema.
 
 Shape of the fact build: everything that is known per order (date, status,
-channel, customer key) is joined at order grain first, so the item table, the
-big side, is shuffled once for its deduplication and once for the join with the
-order header.  Orders without a usable date or customer drop out in the join.
+channel, customer key) is joined at order grain first.  The item table, the big
+side, is shuffled for its deduplication, for the join with the order header and,
+where dim_product is too large to broadcast, for the join with it.  Orders without
+a usable date or customer drop out in the join.
 """
 
 from __future__ import annotations
@@ -154,7 +155,11 @@ def build_dim_customer(raw: RawTables, rules: Rules = DEFAULT_RULES) -> DataFram
 
 
 def translated_products(raw: RawTables) -> DataFrame:
-    """One row per product with its English category; unknown names become Other."""
+    """The products with their English category; unknown names become Other.
+
+    One row per product if the translation names each category once; a name that
+    stands there twice repeats its products, and with them their facts.
+    """
     products = keep_first(
         raw.products.select("product_id", "product_category_name"), ["product_id"]
     )
@@ -180,7 +185,11 @@ def product_price_stats(raw: RawTables, rules: Rules = DEFAULT_RULES) -> DataFra
 
 
 def product_profile(raw: RawTables, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Product dimension before its surrogate key."""
+    """Product dimension before its surrogate key.
+
+    ``unit_cost`` is by the ratio of the rules, also where items carry a
+    ``cost_ratio`` of their own, which sets the cost of these items only.
+    """
     return (
         translated_products(raw)
         .join(product_price_stats(raw, rules), "product_id", "left")
