@@ -273,7 +273,7 @@ def top_customers(
     )
     profit = [F.col("profit").alias("total_profit")] if with_profit else []
     return (
-        orders_of(star, best, "customer_key")
+        orders_of(star, best, "customer_key", limit)
         .select(
             "customer_id",
             "segment",

@@ -56,7 +56,7 @@ def product_margin(star: Star, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
     status = [(_share_below("profit", "revenue", pct), label) for pct, label in steps]
     return (
-        orders_of(star, best, "product_key")
+        orders_of(star, best, "product_key", rules.product_limit)
         .select(
             "product_id",
             "category",

@@ -218,20 +218,24 @@ def one_time_customers(star: Star) -> DataFrame:
     return paid_items(star).groupBy("customer_key").agg(single.alias("one_time"))
 
 
-def orders_of(star: Star, chosen: DataFrame, key: str) -> DataFrame:
+#: Rows of a report's list up to which it is broadcast: a few hundred bytes each.
+LISTED_ROWS = 10_000
+
+
+def orders_of(star: Star, chosen: DataFrame, key: str, most: int) -> DataFrame:
     """Add the distinct paid orders to a report's chosen products or customers.
 
     For reports that rank by something else and list a few rows: ranking first
-    and counting only for what is listed spares shuffling every order.  The
-    caller's limit sets the size of ``chosen``, so the join is left to Spark,
-    which broadcasts it only if it measures small.
+    and counting only for what is listed spares shuffling every order.  ``most``
+    is the limit that bounds ``chosen``: a short list is broadcast, the join with
+    a longer one is left to Spark, which measures it.
     """
     if "orders" in chosen.columns:
         return chosen.withColumnRenamed("orders", "order_count")
     return (
         paid_items(star)
         .select(key, "order_id")
-        .join(chosen, key)
+        .join(F.broadcast(chosen) if most <= LISTED_ROWS else chosen, key)
         .groupBy(*chosen.columns)
         .agg(F.countDistinct("order_id").alias("order_count"))
     )
