@@ -53,8 +53,8 @@ def _crc_of_byte(value: int) -> int:
 
 
 # CRC-32 byte by byte.
-_CRC = f"""xor(list_reduce(list_transform(range(length(hexed) // 2),
-  lambda i: CAST('0x' || substr(hexed, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)),
+_CRC = f"""xor(list_reduce(list_transform(regexp_extract_all(hexed, '..'),
+  lambda pair: CAST('0x' || pair AS BIGINT)),
   lambda c, b: xor(c >> 8, {[_crc_of_byte(b) for b in range(256)]}[(xor(c, b) & 255) + 1]),
   4294967295::BIGINT), 4294967295)"""
 
