@@ -22,8 +22,9 @@ import random
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..sources.shared import store
 from . import votes
@@ -126,26 +127,37 @@ def keep_one_each(
 ) -> DataFrame:
     """The documents without near copies: of each group the row with the least id stays.
 
-    Ids that are null come last; rows with equal ids are told apart by their
-    place.  Columns are those of ``docs``, which must be a table that is read
-    alike each time, since places are taken from two scans.
+    Ids that are null come last; of several rows with the least id the one with the
+    least hash of its columns stays, and of equal rows one.  Columns are those of
+    ``docs``.  Rows are found again by two hashes of all their columns, never by
+    place, which a changed number of executors may shift between two scans.
     """
-    placed = docs.withColumn("__row", F.monotonically_increasing_id())
-    keyed = placed.select(
-        F.col(doc_id).alias("doc_id"), filled(text).alias("text"), F.col("__row").alias("_row")
+    columns = [
+        F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)
+    ]
+    whole = [*columns, *(c.isNull() for c in columns)]
+    hashes = [F.xxhash64(F.lit(salt), *whole).alias(f"__hash{salt}") for salt in (1, 2)]
+    key = ["__hash1", "__hash2"]
+    keyed = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), filled(F.col(f"`{text}`")).alias("text"), *hashes
     )
     marked = store(
-        shingle_fingerprints(keyed, "text", shingle, ["doc_id", "_row"], "fingerprint"), "simhash"
+        shingle_fingerprints(keyed, "text", shingle, ["doc_id", *key], "fingerprint"), "simhash"
     )
-    groups = near_groups(marked.withColumn("_row_id", F.col("_row")), "fingerprint", "_row_id", radius)
-    first = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "_row")
+    groups = near_groups(marked.withColumn("_own", F.col("fingerprint")), "fingerprint", "_own", radius)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *key))
     kept = (
         marked.join(groups, "fingerprint")
         .groupBy("component_id")
-        .agg(F.min(first)["_row"].alias("__row"))
-        .select("__row")
+        .agg(first.alias("first"))
+        .select("first.__hash1", "first.__hash2")
+    )
+    # The rank needs no shuffle beside that of the join.
+    alike = Window.partitionBy(*key).orderBy("__hash1")
+    found = docs.select("*", *hashes).join(kept, key, "left_semi")
+    return (
+        found.withColumn("__nth", F.row_number().over(alike)).where("__nth = 1").select(*docs.columns)
     )
-    return placed.join(kept, "__row", "left_semi").drop("__row")
 
 
 def _around(value: Column, steps: int) -> Column:
