@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from tallymart.llm import secrets
@@ -72,3 +73,37 @@ def test_redacted(spark):
     assert got[8].text.startswith("[account], [value] at [endpoint] ")
     assert got[8].text.endswith("login=eve")
     assert got[6].text == "[assign] " * 500 + "ß"
+
+
+def brute_all(text: str) -> str:
+    """All spans: the strong ones and weak ones with each role within reach, pair by pair."""
+    parts = []
+    for rank, kind in enumerate(secrets.KINDS):
+        flags = re.I if kind.pattern.startswith("(?i)") else 0
+        for m in re.compile(kind.pattern.removeprefix("(?i)"), flags | re.A).finditer(text):
+            if len(m[kind.group]) >= kind.least:
+                parts.append((m.start(), rank, m.end(), kind.name, kind.role))
+    linked = [
+        p for p in parts
+        if p[1] < len(secrets.BASE)
+        or all(
+            any(q[4] == role and abs(q[0] - p[0]) <= secrets.REACH for q in parts)
+            for role in secrets.ROLES
+        )
+    ]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in sorted(linked))
+
+
+def test_linking_against_all_pairs(spark):
+    rng = random.Random(8)
+    fragments = [
+        "user=ann", "login: bob7", "pwd = s3cret77", "auth=abcdefg", "Zx9" + "aB3" * 6, "host=db1.local",
+        "https://a.b/c?d=e", "AKIA" + "Q" * 16, "AKIAQ", "0af" * 9, "token: qwertyui", "plain words",
+        "x" * 90, "y" * 150, "\n",
+    ]
+    texts = [" ".join(rng.choices(fragments, k=rng.randrange(1, 40))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(docs).collect()}
+    want = {i: brute_all(t) for i, t in enumerate(texts)}
+    assert got == want
+    assert sum("account" in s for s in want.values()) > 20
