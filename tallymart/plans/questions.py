@@ -12,12 +12,12 @@ from ..rules import DEFAULT_RULES, Rules
 from ..sources.star import Star
 from . import kpi
 from .totals import (
+    category_and_total_orders,
     category_orders,
     category_totals,
     channel_totals,
     dated,
     margin,
-    order_categories,
     orders_of,
     paid_items,
     product_totals,
@@ -190,17 +190,15 @@ def category_mix(star: Star) -> DataFrame:
     The order share is taken of all distinct orders, so shares may add up to
     more than 100: an order counts in each of its categories.
     """
-    # One pass by (category, order) serves the categories and, from the same
-    # exchange, the totals; a sale of an unknown product counts in these only.
-    sales = order_categories(star)
-    whole = sales.agg(
-        F.struct(F.countDistinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
-    ).scalar()
+    # One pass gives the categories and the total, a row more in the report; a sale
+    # of an unknown product counts in the total only.
     products = category_totals(star).select("category", F.col("products").alias("product_count"))
+    report = Window.partitionBy()
+    of_total = lambda name: F.max(F.when(F.col("_total") == 1, F.col(name))).over(report)
     categories = (
-        sales.groupBy("category")
-        .agg(F.count("*").alias("orders"), F.sum("revenue").alias("revenue"))
-        .withColumns({"_all_orders": whole["orders"], "_all_revenue": whole["revenue"]})
+        category_and_total_orders(star)
+        .withColumns({"_all_orders": of_total("orders"), "_all_revenue": of_total("revenue")})
+        .where((F.col("_total") == 0) & F.col("category").isNotNull())
     )
     return (
         categories.join(products, "category")

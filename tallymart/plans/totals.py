@@ -172,14 +172,21 @@ def category_orders(star: Star) -> DataFrame:
     )
 
 
-def order_categories(star: Star) -> DataFrame:
-    """Paid revenue per category and order; the category of an unknown product is null."""
+def category_and_total_orders(star: Star) -> DataFrame:
+    """Paid distinct orders and revenue per category, and in a row with ``_total`` 1 of all.
+
+    The category of an unknown product is null.
+    """
     categories = star.dim_product.select("product_key", "category")
     return (
         paid_items(star)
         .join(categories, "product_key", "left")
-        .groupBy("category", "order_id")
-        .agg(F.sum("revenue").alias("revenue"))
+        .rollup("category")
+        .agg(
+            F.grouping("category").alias("_total"),
+            F.countDistinct("order_id").alias("orders"),
+            F.sum("revenue").alias("revenue"),
+        )
     )
 
 
