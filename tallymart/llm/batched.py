@@ -64,19 +64,32 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def sampled(rows: DataFrame, group: str, most: int) -> DataFrame:
-    """At most ``most`` rows of each group: (doc_id, text, group), least hashes first.
+def least_hashed(
+    rows: DataFrame, group: str, key: str, most: int, sizes: dict
+) -> DataFrame:
+    """(group, key) of the ``most`` keys of each group with the least hashes, each once.
 
-    Equal rows count once.  Each task sends at most ``most`` rows of a group.
+    ``sizes`` has the rows of each group, which are few.  Only hashes under a share
+    that leaves about four times as many rows are ranked, so what meets in one
+    task does not grow with the table.
     """
-    keyed = rows.select("doc_id", group, F.xxhash64("doc_id", "text").alias("key"))
-    order = Window.partitionBy(group).orderBy(F.xxhash64("key"), "key")
-    chosen = (
-        keyed.withColumn("nth", F.dense_rank().over(order))
-        .where(F.col("nth") <= most)
-        .select(group, "key")
-        .distinct()
-    )
+    hashed = F.xxhash64(F.lit(5), key)
+    share = F.lit(0.0)
+    for name, size in sizes.items():
+        share = F.when(F.col(group) == name, min(1.0, 4 * most / max(size, 1))).otherwise(share)
+    near = rows.where(F.pmod(hashed, F.lit(1 << 31)) / float(1 << 31) < share).select(group, key)
+    order = Window.partitionBy(group).orderBy(F.pmod(hashed, F.lit(1 << 31)), key)
+    ranked = near.distinct().withColumn("nth", F.row_number().over(order))
+    return ranked.where(F.col("nth") <= most).select(group, key)
+
+
+def sampled(rows: DataFrame, group: str, most: int, sizes: dict) -> DataFrame:
+    """About ``most`` rows at most of each group: (doc_id, text, group), least hashes first.
+
+    Equal rows count once.  ``sizes`` is as in ``least_hashed``.
+    """
+    keyed = rows.select(group, F.xxhash64("doc_id", "text").alias("key"))
+    chosen = least_hashed(keyed, group, "key", most, sizes)
     held = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     # ``chosen`` has at most ``most`` rows per group.
     found = held.join(F.broadcast(chosen), [group, "key"])

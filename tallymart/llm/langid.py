@@ -116,11 +116,11 @@ def train(
         F.col(lang).cast("string").alias("lang"),
     ).where(F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != held_fold))
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    names = [r["lang"] for r in common.collect()]
-    if not names:
+    sizes = {r["lang"]: r["count"] for r in common.collect()}
+    if not sizes:
         return fitted([])
-    rows = rows.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isin(names))
-    sample = sampled(rows, "lang", TRAIN_ROWS)
+    rows = rows.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isin(list(sizes)))
+    sample = sampled(rows, "lang", TRAIN_ROWS, sizes)
     described = by_document(
         sample.withColumn("id", F.concat_ws(":", F.col("key").cast("string"), "lang")), "id", "text",
         lambda texts: ((grams(t).astype(np.int32).tobytes(),) for t in texts), "grams binary",

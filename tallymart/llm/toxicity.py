@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import store
-from .batched import by_document, fold, keep_rows, lowered, sampled
+from .batched import by_document, fold, keep_rows, least_hashed, lowered, sampled
 
 #: Bounds of the fit: labelled rows of each class, features of the lexicon.
 TRAIN_ROWS, LEXICON = 5000, 3000
@@ -219,9 +219,14 @@ def train(
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    # Ids are chosen before texts are joined, so no text of another document moves.
+    marked = marked.join(docs.select(F.col(doc_id).alias("doc_id")).distinct(), "doc_id")
+    whole = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    chosen = least_hashed(marked, "toxic", "doc_id", TRAIN_ROWS, whole)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.where("text is not null").join(marked, "doc_id")
-    sample = sampled(rows, "toxic", TRAIN_ROWS)
+    # ``chosen`` has at most TRAIN_ROWS rows of each class; its ids may have many texts.
+    rows = rows.where("text is not null").join(F.broadcast(chosen), "doc_id")
+    sample = sampled(rows, "toxic", TRAIN_ROWS, dict.fromkeys(whole, TRAIN_ROWS))
     split = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
     triples = sample.withColumn("words", split).withColumn(
         "sketch",
@@ -244,7 +249,6 @@ def train(
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Model(None, np.zeros(4))
-    whole = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
     def found(texts: list[str]) -> Iterator[tuple]:
         for t in texts:
