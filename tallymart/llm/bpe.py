@@ -18,6 +18,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a batch of texts that are encoded together.
-BATCH_CHARS = 24_000_000
+BATCH_CHARS = 6_000_000
 _NEVER = np.int32(2**31 - 1)
 #: Where a space has white space on its left, a run of it reaches over the cut.
 _BLANK_THEN_SPACE = tuple(f"{c} " for c in "\t\n\x0b\x0c\r \x85\xa0")
@@ -263,12 +264,13 @@ class Encoder:
         for text in texts:
             parts = self.runs(text)
             numbered.append(np.fromiter(map(runs.__getitem__, parts), np.int32, len(parts)))
-        inside = [self.pieces(run) for run in runs]
-        run_sizes = np.array([len(p) for p in inside], np.int64)
-        run_flat = np.fromiter(
-            (pieces[p] for parts in inside for p in parts), np.int64, int(run_sizes.sum())
-        )
-        del inside
+        held_sizes, held = array("q"), array("q")  # numbers side by side, not as objects
+        for run in runs:
+            inside = self.pieces(run)
+            held_sizes.append(len(inside))
+            held.extend(map(pieces.__getitem__, inside))
+        del runs
+        run_sizes, run_flat = np.frombuffer(held_sizes, np.int64), np.frombuffer(held, np.int64)
         flat, starts, sizes = self._encode_pieces([p.encode() for p in pieces])
         # The ids of each run, from those of its pieces.
         ids = gathered(flat, starts, sizes, run_flat)
