@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a batch of texts that are encoded together.
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 8_000_000
 _NEVER = np.int32(2**31 - 1)
 #: Where a space has white space on its left, a run of it reaches over the cut.
 _BLANK_THEN_SPACE = tuple(f"{c} " for c in "\t\n\x0b\x0c\r \x85\xa0")
