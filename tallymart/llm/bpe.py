@@ -84,12 +84,17 @@ class Vocabulary:
     """Tokens by id and the merges in rank order.
 
     ``merges`` are (left id, right id, rank, new id).  With ``whole``, a piece that
-    is a token itself is not split at all.
+    is a token itself is not split at all.  ``added`` are contents that are one id
+    wherever they stand; no pattern or merge sees them.
     """
 
-    def __init__(self, tokens: list[bytes], merges: np.ndarray, whole: bool):
-        self.tokens, self.whole = tokens, whole
+    def __init__(
+        self, tokens: list[bytes], merges: np.ndarray, whole: bool, added: dict[str, int] | None = None
+    ):
+        self.tokens, self.whole, self.added = tokens, whole, added or {}
         self.ids = {token: i for i, token in enumerate(tokens)}
+        #: Ids of what is not replayed: whole tokens by their bytes, added ones by their id.
+        self.known = (self.ids if whole else {}) | {i: i for i in self.added.values()}
         self.bytes = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
         keys = merges[:, 0].astype(np.int64) * len(tokens) + merges[:, 1]
         order = np.argsort(keys)
@@ -118,23 +123,35 @@ class Vocabulary:
         return cls(tokens, np.array(merges), True)
 
     @classmethod
-    def from_json(cls, path: str) -> Vocabulary:
-        """A tokenizer file with a vocabulary in byte characters and a list of merges."""
+    def from_json(cls, path: str, special: bool = False) -> Vocabulary:
+        """A tokenizer file with a vocabulary in byte characters and a list of merges.
+
+        With ``special``, the file's added tokens are single ids, as the library has
+        them when loaded; without, their text is like any other, as with the
+        library's ``encode_special_tokens``.
+        """
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            held = json.load(file)
+        model = held["model"]
+        added = {t["content"]: t["id"] for t in held.get("added_tokens", ())} if special else {}
+        for t in held.get("added_tokens", ()) if special else ():
+            if t["single_word"] or t["lstrip"] or t["rstrip"]:
+                raise ValueError(f"added token with a rule of its own: {t}")
         # Printable bytes stand for themselves, the others for U+0100 onwards, in order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in plain]
         byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
         ids = model["vocab"]
-        tokens = [b""] * (max(ids.values()) + 1)
+        tokens = [b""] * (max([*ids.values(), *added.values()]) + 1)
         for name, i in ids.items():
             tokens[i] = bytes(byte[c] for c in name) if set(name) <= byte.keys() else b""
+        for name, i in added.items():
+            tokens[i] = name.encode()
         merges = []
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             merges.append((ids[a], ids[b], rank, ids[a + b]))
-        return cls(tokens, np.array(merges), False)
+        return cls(tokens, np.array(merges), False, added)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left.astype(np.int64) * len(self.tokens) + right
@@ -242,6 +259,9 @@ class Encoder:
         self.vocabulary = vocabulary
         self.latin, self.full = _latin_pattern(), _full_pattern()
         self.beyond = re.compile("[^\x00-ɏ]")
+        # The longest first, where one begins another.
+        added = sorted(vocabulary.added, key=len, reverse=True)
+        self.added = re.compile(f"({'|'.join(map(re.escape, added))})") if added else None
 
     def pieces(self, text: str) -> list[str]:
         """The pattern's matches."""
@@ -257,21 +277,32 @@ class Encoder:
             return self.pieces(text)
         return text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.pieces(text)
 
+    def parts(self, text: str) -> list[str | int]:
+        """The runs of the text between added tokens, and the ids of these."""
+        if self.added is None or not self.added.search(text):
+            return self.runs(text)
+        out: list[str | int] = []
+        for k, part in enumerate(self.added.split(text)):
+            out += [self.vocabulary.added[part]] if k % 2 else self.runs(part)
+        return out
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order; all texts are one corpus."""
         runs, pieces = _Numbers(), _Numbers()
         numbered = []
         for text in texts:
-            parts = self.runs(text)
+            parts = self.parts(text)
             numbered.append(np.fromiter(map(runs.__getitem__, parts), np.int32, len(parts)))
         held_sizes, held = array("q"), array("q")  # numbers side by side, not as objects
         for run in runs:
-            inside = self.pieces(run)
+            inside = [run] if isinstance(run, int) else self.pieces(run)
             held_sizes.append(len(inside))
             held.extend(map(pieces.__getitem__, inside))
         del runs
         run_sizes, run_flat = np.frombuffer(held_sizes, np.int64), np.frombuffer(held, np.int64)
-        flat, starts, sizes = self._encode_pieces([p.encode() for p in pieces])
+        flat, starts, sizes = self._encode_pieces(
+            [p if isinstance(p, int) else p.encode() for p in pieces]
+        )
         # The ids of each run, from those of its pieces.
         ids = gathered(flat, starts, sizes, run_flat)
         edges = np.r_[0, np.cumsum(sizes[run_flat])]
@@ -281,8 +312,8 @@ class Encoder:
         for parts in numbered:
             yield gathered(ids, id_starts, id_sizes, parts)
 
-    def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        known = self.vocabulary.ids if self.vocabulary.whole else {}
+    def _encode_pieces(self, pieces: list[bytes | int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        known = self.vocabulary.known
         rest = [p for p in pieces if p not in known]
         flat, starts, sizes = self.vocabulary.replay(rest)
         if len(rest) == len(pieces):

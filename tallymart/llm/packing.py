@@ -128,14 +128,15 @@ def cut(size: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id: str, text: str
+    docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id: str, text: str,
+    special: bool = False,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, bucket of every piece.
 
     ``bucket`` deals the pieces of a task out in turn, so that those of one length
     can be numbered in many groups.
     """
-    encoder = Encoder(Vocabulary.from_json(vocabulary))
+    encoder = Encoder(Vocabulary.from_json(vocabulary, special))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dealt = 0
@@ -189,15 +190,16 @@ def pack(
     end_id: int = 0,
     doc_id: str = "doc_id",
     text: str = "text",
+    special: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Each text (null: empty) is encoded by the tokenizer file and ``end_id`` is put
-    after it; texts of more than ``capacity`` ids are cut into full pieces after a
+    Each text (null: empty) is encoded by the tokenizer file, with ``special`` added
+    tokens in it as their single ids, and ``end_id`` is put after it; texts of more than ``capacity`` ids are cut into full pieces after a
     first one that may be shorter.  Repeated rows are pieces of their own.  No rows
     give no sequences.
     """
-    pieces = store(token_pieces(docs, vocabulary, capacity, end_id, doc_id, text), "pieces")
+    pieces = store(token_pieces(docs, vocabulary, capacity, end_id, doc_id, text, special), "pieces")
     # At most ``capacity`` rows.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     planned = docs.sparkSession.createDataFrame(

@@ -6,11 +6,12 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tallymart.llm import packing
+from tallymart.llm import bpe, packing, queries
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -87,3 +88,21 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, piece int")
     check(docs, packing.pack(docs, JSON, capacity=64).collect(), 64)
     assert packing.pack(docs.limit(0), JSON).count() == 0
+
+
+def test_added_tokens_as_the_library_loads_them(spark, tmp_path):
+    texts = ["ab <|endoftext|> cd", "<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|>\n", "é  <|endoftext|>  漢",
+             "<|endoftext|", "<<|endoftext|>>", "a" * 90 + "<|endoftext|>" + " b" * 90, "plain"]
+    library = Tokenizer.from_file(JSON)
+    want = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert want[0] == [397, 220, 50256, 22927]
+    encoder = bpe.Encoder(bpe.Vocabulary.from_json(JSON, special=True))
+    encoded = list(encoder.encode(texts))
+    assert [ids.tolist() for ids in encoded] == list(want.values())
+    assert [encoder.vocabulary.decode(ids).decode() for ids in encoded] == texts
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    for got in (queries.op10_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, rows, "")):
+        assert {r.doc_id: (r.length, r.ids_crc32) for r in got.collect()} == {
+            i: (len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes())) for i, ids in want.items()
+        }
