@@ -27,7 +27,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(documents(spark, sf_dir))
+    return secrets.scan(documents(spark, sf_dir), linking=secrets.PAIRS)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

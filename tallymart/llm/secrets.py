@@ -3,11 +3,13 @@
 Strong patterns stand for themselves.  Weak ones - account names, opaque values,
 endpoints - are reported only where the parts of a credential meet: an interval
 join of access identifiers, secrets and endpoints whose starts lie within
-``REACH`` code points of each other.  Strong finds count as parts, too.
+``REACH`` code points of each other.  Strong finds count as parts, too.  A
+``Linking`` says how many roles have to meet; with PAIRS an identifier and a
+secret, or an endpoint and either, are enough.
 
 Everything is a projection of the row: matches and the text between them give
-the offsets, and the join runs over the row's own sorted parts, each against the
-neighbours that can be in reach.  Patterns run on texts that can match, by a
+the offsets, and the join sweeps the row's own sorted parts, once forwards and once
+backwards, with the nearest part of each role.  Patterns run on texts that can match, by a
 cheaper test first.
 """
 
@@ -36,6 +38,17 @@ class Kind:
     group: int = 0
 
 
+@dataclass(frozen=True)
+class Linking:
+    """The least number of roles, its own included, that a weak part has within reach."""
+
+    least_roles: int = len(ROLES)
+
+
+ALL_ROLES, PAIRS = Linking(), Linking(2)
+
+#: Names may have a prefix, as in DB_HOST.
+_NAME = r"(?<![A-Za-z0-9])"
 _SET = r"""["']?\x20*[:=]\x20*["']?"""
 BASE = (
     Kind(
@@ -48,17 +61,20 @@ BASE = (
 WEAK = (
     Kind(
         "account", IDENTIFIER,
-        rf"(?i)\b(user(?:name)?|login|account|client_?id|access_?id){_SET}([A-Za-z0-9@+/_.=-]+)",
+        rf"(?i){_NAME}(user(?:name)?|login|account|client_?id|access_?id){_SET}([A-Za-z0-9@+/_.=-]+)",
         3, 2,
     ),
-    Kind("value", SECRET, rf"(?i)\b(pwd|pass|key|auth|credential|sig){_SET}([A-Za-z0-9+/_.=-]+)", 6, 2),
+    Kind(  # api_key is an assign
+        "value", SECRET,
+        rf"(?i){_NAME}(?<!api_)(pwd|pass|key|auth|credential|sig){_SET}([A-Za-z0-9+/_.=-]+)", 6, 2,
+    ),
     Kind(
         "opaque", SECRET,
         r"\b(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])"
         r"[A-Za-z0-9+/_-]{16,200}", 16,
     ),
     Kind("endpoint", ENDPOINT, r"(?i)\b[a-z][a-z0-9+]*://[^\x20\x09-\x0D\"'<>]+", 8),
-    Kind("host", ENDPOINT, rf"(?i)\b(host|endpoint|server|url){_SET}([A-Za-z0-9:/_.-]+)", 4, 2),
+    Kind("host", ENDPOINT, rf"(?i){_NAME}(host|endpoint|server|url){_SET}([A-Za-z0-9:/_.-]+)", 4, 2),
 )
 KINDS = BASE + WEAK
 
@@ -66,15 +82,20 @@ KINDS = BASE + WEAK
 # ordinary words need not be listed and dropped.
 _FAST = {"hex": r"[0-9a-f]{24,}", "access": r"AKIA[A-Z0-9]{16,}"}
 
+_KEYS = {
+    "assign": ("password", "passwd", "secret", "token", "apikey", "api_key"),
+    "account": ("user", "login", "account", "client", "access"),
+    "value": ("pwd", "pass", "key", "auth", "credential", "sig"),
+}
+
 
 def _possible(kind: Kind) -> Column:
     """A test that no text with a match fails."""
     text, low = F.col("_text"), F.col("_low")
     sets = F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))
-    if kind.name == "assign":
-        keys = ("password", "passwd", "secret", "token", "apikey", "api_key")
+    if kind.name in _KEYS:
         named = F.lit(False)
-        for key in keys:
+        for key in _KEYS[kind.name]:
             named = named | F.contains(low, F.lit(key))
         return sets & named
     if kind.name == "access":
@@ -84,7 +105,7 @@ def _possible(kind: Kind) -> Column:
     if kind.name == "endpoint":
         return F.contains(text, F.lit("://"))
     if kind.name == "host":
-        return sets & text.rlike(rf"(?i)\b(host|endpoint|server|url){_SET}")
+        return sets & text.rlike(rf"(?i){_NAME}(host|endpoint|server|url){_SET}")
     return F.lit(True)
 
 
@@ -123,54 +144,71 @@ def _found(df: DataFrame, kind: Kind, where: Column) -> DataFrame:
     ).drop("_hits", "_gaps")
 
 
-def with_spans(df: DataFrame) -> DataFrame:
+def with_spans(df: DataFrame, linking: Linking = ALL_ROLES) -> DataFrame:
     """Adds ``_base`` and ``_all``, the sorted strong spans and those with the linked weak ones.
 
     ``df`` has the text, not null, in ``_text``.
     """
     df = df.withColumn("_low", F.lower("_text"))
-    for kind in BASE:
-        df = _found(df, kind, _possible(kind))
-    ends = [kind for kind in WEAK if kind.role == ENDPOINT]
-    for kind in ends:
+    others = [kind for kind in WEAK if kind.role != SECRET]
+    for kind in (*BASE, *others):
         df = _found(df, kind, _possible(kind))
-    # Without an endpoint nothing is linked, so the other parts need not be sought.
-    df = df.withColumn(
-        "_linkable", sum((F.size(f"_spans_{k.name}") for k in ends), F.lit(0)) > 0
-    )
+    # Secrets alone are of one role and link nothing, so weak ones need not be sought there.
+    met = [F.size(f"_spans_{k.name}") for k in KINDS if k.role != SECRET]
+    df = df.withColumn("_linkable", sum(met, F.lit(0)) > 0)
     for kind in WEAK:
-        if kind not in ends:
+        if kind not in others:
             df = _found(df, kind, F.col("_linkable") & _possible(kind))
     of = lambda kinds: F.concat(*(F.col(f"_spans_{k.name}") for k in kinds))
     df = df.withColumn("_base", F.sort_array(of(BASE)))
     df = df.withColumn("_parts", F.when(F.col("_linkable"), F.sort_array(of(KINDS))))
-    df = df.withColumn("_linked", F.when(F.col("_linkable"), _linked()))
+    df = df.withColumn("_before", F.when(F.col("_linkable"), _met(F.col("_parts"), linking, False)))
+    df = df.withColumn("_behind", F.when(F.col("_linkable"), _met(F.col("_parts"), linking, True)))
+    df = df.withColumn("_linked", F.when(F.col("_linkable"), _linked(linking)))
     none = F.slice("_base", 1, 0)
     df = df.withColumn("_all", F.sort_array(F.concat("_base", F.coalesce("_linked", none))))
-    return df.drop("_low", "_linkable", "_parts", "_linked", *(f"_spans_{k.name}" for k in KINDS))
+    return df.drop(
+        "_low", "_linkable", "_parts", "_before", "_behind", "_linked",
+        *(f"_spans_{k.name}" for k in KINDS),
+    )
 
 
-def _linked() -> Column:
-    """The weak parts that have a part of each role within reach.
+def _met(parts: Column, linking: Linking, back: bool) -> Column:
+    """For each part in the order of the sweep, the roles met so far as bits, its own included.
 
-    Spans of a kind do not overlap, so at most REACH of a kind start within
-    REACH on either side; no part in reach is further away in the sorted array.
+    Forwards, the part of a role that reaches furthest is the last one's; backwards,
+    the nearest is the one that starts last in the sweep.
     """
-    near = REACH * len(KINDS)
-    parts = F.col("_parts")
+    far = F.lit(1 << 30) if back else F.lit(-(1 << 30))
+
+    def step(done: Column, own: Column) -> Column:
+        bits, at = F.lit(0), []
+        for k, role in enumerate(ROLES):
+            mine, held = own["role"] == role, done[role]
+            if back:
+                near = held <= own["start"] + REACH
+                moved = own["start"]
+            else:
+                near = held >= own["start"] - REACH
+                moved = F.greatest(held, own["start"])
+            bits = bits + F.when(mine | near, 1 << k).otherwise(0)
+            at.append(F.when(mine, moved).otherwise(held).alias(role))
+        return F.struct(*at, F.array_append(done["bits"], bits).alias("bits"))
+
+    start = F.struct(*(far.alias(role) for role in ROLES), F.array().cast("array<int>").alias("bits"))
+    return F.aggregate(F.reverse(parts) if back else parts, start, step, lambda done: done["bits"])
+
+
+def _linked(linking: Linking) -> Column:
+    """The weak parts that have parts of enough roles within reach."""
+    parts, n = F.col("_parts"), F.size("_parts")
 
     def meets(i: Column) -> Column:
-        own = F.get(parts, i)
-        around = F.slice(parts, F.greatest(i + 1 - near, F.lit(1)), 2 * near + 1)
-        in_reach = lambda role: F.exists(
-            around, lambda p: (p["role"] == role) & (F.abs(p["start"] - own["start"]) <= REACH)
-        )
-        met = own["rank"] >= len(BASE)
-        for role in ROLES:
-            met = met & in_reach(role)
-        return met
+        bits = F.get(F.col("_before"), i).bitwiseOR(F.get(F.col("_behind"), n - 1 - i))
+        weak = F.get(parts, i)["rank"] >= len(BASE)
+        return weak & (F.bit_count(bits) >= linking.least_roles)
 
-    return F.transform(F.filter(indexes(F.size(parts)), meets), lambda i: F.get(parts, i))
+    return F.transform(F.filter(indexes(n), meets), lambda i: F.get(parts, i))
 
 
 def as_text(spans: str) -> Column:
@@ -180,12 +218,14 @@ def as_text(spans: str) -> Column:
     )
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", linking: Linking = ALL_ROLES
+) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     A null text is empty, and has no spans.  Repeated rows are kept; no rows give none.
     """
-    found = with_spans(docs.select(F.col(doc_id).alias("doc_id"), filled(text).alias("_text")))
+    found = with_spans(docs.select(F.col(doc_id).alias("doc_id"), filled(text).alias("_text")), linking)
     counts = [_count(kind.name).alias(f"n_{kind.name}") for kind in BASE]
     return found.select(
         "doc_id", *counts, F.sha2(as_text("_base"), 256).alias("base_sha256"),
@@ -197,14 +237,16 @@ def _count(name: str) -> Column:
     return F.size(F.filter("_base", lambda span: span["kind"] == name)).cast("bigint")
 
 
-def redacted(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataFrame:
+def redacted(
+    docs: DataFrame, text: str = "text", size: str = "n_chars", linking: Linking = ALL_ROLES
+) -> DataFrame:
     """The documents with each span replaced by ``[kind]``, columns as in ``docs``.
 
     Overlapping spans are replaced as one, by the first's kind.  ``size``, where there
     is such a column, becomes the number of code points of a text that changed.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
-    found = with_spans(docs.select(row, filled(F.col(f"`{text}`")).alias("_text")))
+    found = with_spans(docs.select(row, filled(F.col(f"`{text}`")).alias("_text")), linking)
     body = F.col("_text")
 
     def step(done: Column, span: Column) -> Column:
