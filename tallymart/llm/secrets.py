@@ -2,10 +2,11 @@
 
 Strong patterns stand for themselves.  Weak ones - account names, opaque values,
 endpoints - are reported only where the parts of a credential meet: an interval
-join of access identifiers, secrets and endpoints whose starts lie within
-``REACH`` code points of each other.  Strong finds count as parts, too.  A
-``Linking`` says how many roles have to meet; with PAIRS an identifier and a
-secret, or an endpoint and either, are enough.
+join of access identifiers, secrets and endpoints that lie within ``REACH`` code
+points of each other.  Strong finds count as parts, too.  A ``Linking`` says how
+many roles have to meet and from where the distance counts; with PAIRS an identifier
+and a secret, or an endpoint and either, are enough, and it counts between the end
+of one part and the start of the next, so a long part pushes no neighbour away.
 
 Everything is a projection of the row: matches and the text between them give
 the offsets, and the join sweeps the row's own sorted parts, once forwards and once
@@ -40,12 +41,16 @@ class Kind:
 
 @dataclass(frozen=True)
 class Linking:
-    """The least number of roles, its own included, that a weak part has within reach."""
+    """The least number of roles, its own included, that a weak part has within reach.
+
+    Reach is from start to start or, with ``gaps``, from the end of one to the start of the other.
+    """
 
     least_roles: int = len(ROLES)
+    gaps: bool = False
 
 
-ALL_ROLES, PAIRS = Linking(), Linking(2)
+ALL_ROLES, PAIRS = Linking(), Linking(2, True)
 
 #: Names may have a prefix, as in DB_HOST.
 _NAME = r"(?<![A-Za-z0-9])"
@@ -70,8 +75,9 @@ WEAK = (
     ),
     Kind(
         "opaque", SECRET,
-        r"\b(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])"
-        r"[A-Za-z0-9+/_-]{16,200}", 16,
+        # From the start of a run to its end, each character read a few times at most.
+        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9a-z+/_-]*+[A-Z])"
+        r"(?=[0-9A-Z+/_-]*+[a-z])[A-Za-z0-9+/_-]{16,}+", 16,
     ),
     Kind("endpoint", ENDPOINT, r"(?i)\b[a-z][a-z0-9+]*://[^\x20\x09-\x0D\"'<>]+", 8),
     Kind("host", ENDPOINT, rf"(?i){_NAME}(host|endpoint|server|url){_SET}([A-Za-z0-9:/_.-]+)", 4, 2),
@@ -176,21 +182,22 @@ def with_spans(df: DataFrame, linking: Linking = ALL_ROLES) -> DataFrame:
 def _met(parts: Column, linking: Linking, back: bool) -> Column:
     """For each part in the order of the sweep, the roles met so far as bits, its own included.
 
-    Forwards, the part of a role that reaches furthest is the last one's; backwards,
-    the nearest is the one that starts last in the sweep.
+    Forwards, a role is kept by the furthest end of its parts so far, as a long part
+    may end behind later ones; backwards, by the start of the nearest.
     """
     far = F.lit(1 << 30) if back else F.lit(-(1 << 30))
 
     def step(done: Column, own: Column) -> Column:
+        end = own["end"] if linking.gaps else own["start"]
         bits, at = F.lit(0), []
         for k, role in enumerate(ROLES):
             mine, held = own["role"] == role, done[role]
             if back:
-                near = held <= own["start"] + REACH
+                near = held <= end + REACH
                 moved = own["start"]
             else:
                 near = held >= own["start"] - REACH
-                moved = F.greatest(held, own["start"])
+                moved = F.greatest(held, end)
             bits = bits + F.when(mine | near, 1 << k).otherwise(0)
             at.append(F.when(mine, moved).otherwise(held).alias(role))
         return F.struct(*at, F.array_append(done["bits"], bits).alias("bits"))

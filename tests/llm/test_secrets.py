@@ -129,3 +129,54 @@ def test_two_roles_are_a_credential(spark, tmp_path):
     assert kinds == {r[0]: r[3] for r in rows}
     left = {r.doc_id: r.text for r in corpus_pipeline.secret_scan(spark, docs, "").collect()}
     assert left[1] == "[access] [opaque]" and "s3cr3tly" not in left[2] and left[7] == rows[6][1]
+
+
+def test_long_secrets_are_whole_and_push_no_neighbour_away(spark):
+    long = "Zx9" + "aB3" * 119
+    texts = [
+        f"user=ann {long} https://a.b/c", f"{long} user=ann", f"-+{long}/ user=ann",
+        "https://a.b/" + "p" * 500 + " " * 200 + "login: bob7", "https://a.b/" + "p" * 500 + " " * 201 + "login: bob7",
+        "user=ann " + "a/" * 50_000, "user=ann " + "aB-" * 30_000 + "7",
+    ]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r.spans for r in secrets.scan(docs, linking=secrets.PAIRS).collect()}
+    assert got[0] == "account:0:8,opaque:9:369,endpoint:370:383"
+    assert got[1] == "opaque:0:360,account:361:369" and got[2] == "opaque:0:363,account:364:372"
+    assert got[3] == "endpoint:0:512,account:712:723" and got[4] == got[5] == ""
+    assert got[6] == f"account:0:8,opaque:9:{len(texts[6])}"
+    left = {r.doc_id: r.text for r in secrets.redacted(docs, linking=secrets.PAIRS).collect()}
+    assert left[0] == "[account] [opaque] [endpoint]"
+
+
+def brute_pairs(text: str) -> str:
+    """All spans: the strong ones and weak ones with another role at most REACH away, pair by pair."""
+    parts = []
+    for rank, kind in enumerate(secrets.KINDS):
+        flags = re.I if kind.pattern.startswith("(?i)") else 0
+        for m in re.compile(kind.pattern.removeprefix("(?i)"), flags | re.A).finditer(text):
+            if len(m[kind.group]) >= kind.least:
+                parts.append((m.start(), rank, m.end(), kind.name, kind.role))
+    near = lambda p, q: max(q[0] - p[2], p[0] - q[2]) <= secrets.REACH
+    linked = [
+        p for p in parts if p[1] < len(secrets.BASE) or any(q[4] != p[4] and near(p, q) for q in parts)
+    ]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k, _ in sorted(linked))
+
+
+def test_pairs_against_all_pairs(spark):
+    rng = random.Random(9)
+    fragments = [
+        "DB_USER=ann", "pwd = s3cret77", "Zx9" + "aB3" * 6, "Zx9" + "aB3" * 119, "URL=db1.local:1", "0af" * 9,
+        "https://a.b/c?d=e" + "f" * 300, "AKIA" + "Q" * 16, "token: qwertyui", "words", "é" * 90, "y" * 150, "\n",
+        "z" * 199,
+    ]
+    texts = [" ".join(rng.choices(fragments, k=rng.randrange(1, 12))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(docs, linking=secrets.PAIRS).collect()}
+    assert got == {i: brute_pairs(t) for i, t in enumerate(texts)}
+
+
+def test_documents_without_a_weak_part_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    got = {(r.doc_id, r.spans) for r in secrets.scan(docs, linking=secrets.PAIRS).collect()}
+    assert got == {(r.doc_id, brute_pairs(r.text or "")) for r in docs.collect()}
