@@ -1,12 +1,12 @@
-"""License scans by winnowed fingerprints and banded alignment.
-
-Templates and texts are sequences of lower-case words.  Of every WINDOW
-consecutive hashes of GRAM words a template keeps the least, and an inverted index
-leads from the kept hashes to template and position.  All hashes of a text are
-looked up, so a run of GRAM + WINDOW - 1 words of a template is never missed.  Each
-diagonal with hits of a template is a candidate, which is aligned with the template
-inside a band around it; the alignment says how many of the template's
-words the text has, in order, and where.
+"""License scans by an inverted index of words and banded alignment.
+
+Templates and texts are sequences of lower-case words.  An inverted index leads from
+each word to the templates and positions that have it; each occurrence in a text is
+a hit on a diagonal.  An alignment has no more matches than there are hits on the
+diagonals of its band, so a diagonal is a candidate only if its band has hits for the
+least coverage, and none that could reach it is left out.  A candidate is aligned
+with the template inside the band around it; the alignment says how many of the
+template's words the text has, in order, and where.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .batched import by_document, lowered
 
-GRAM, WINDOW, BAND, COVERAGE = 3, 2, 8, 0.8
+GRAM, WINDOW, BAND, COVERAGE = 3, 2, 8, 0.8  # every word is indexed, so every WINDOW has one
 TOKEN = re.compile(r"\w+")
 
 #: Notices by which documents state their license.
@@ -77,30 +77,30 @@ def aligned(template: list[int], words: list[int], first: int, last: int) -> tup
 
 
 class Templates:
-    """The inverted index over the templates' winnowed hashes."""
+    """The inverted index from the templates' words to template and place."""
 
     def __init__(self, notices: dict[str, str]):
-        if any(len(TOKEN.findall(t)) < GRAM for t in notices.values()):
-            raise ValueError(f"a template needs {GRAM} words")
+        if not all(TOKEN.search(t) for t in notices.values()):
+            raise ValueError("a template needs a word")
         self.names = sorted(notices)
         self.numbers: dict[str, int] = {}
         self.words = []
-        for name in self.names:
+        self.index = defaultdict(list)
+        for template, name in enumerate(self.names):
             tokens = TOKEN.findall(lowered(notices[name]))
             self.words.append([self.numbers.setdefault(t, len(self.numbers) + 1) for t in tokens])
-        self.index = defaultdict(list)
-        for template, words in enumerate(self.words):
-            codes = self.codes(np.array(words, np.int64))
-            mixed = (codes * 0x9E3779B1) % (1 << 61)  # so that the least is any
-            for start in range(max(1, len(codes) - WINDOW + 1)):
-                part = mixed[start : start + WINDOW]
-                place = start + len(part) - 1 - int(part[::-1].argmin())
-                if (template, place) not in self.index[int(codes[place])]:
-                    self.index[int(codes[place])].append((template, place))
-        self.codes_held = np.array(sorted(self.index), np.int64)
+            for place, word in enumerate(self.words[-1]):
+                self.index[word].append((template, place))
+        # All templates' words side by side, to see which ones a text can have at all.
+        self.flat = np.array([word for words in self.words for word in words], np.int64)
+        self.sizes = np.array([len(words) for words in self.words], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def codes(self, numbers: np.ndarray) -> np.ndarray:
-        """A number for each GRAM consecutive words, -1 where one is in no template."""
+        """A number for each GRAM consecutive words, -1 where one is in no template.
+
+        Not used to find candidates: edits between them leave no GRAM words together.
+        """
         if len(numbers) < GRAM:
             return np.zeros(0, np.int64)
         size = len(self.numbers) + 1
@@ -122,18 +122,31 @@ class Templates:
         tokens = TOKEN.findall(low)
         get = self.numbers.get
         numbers = np.fromiter((get(t, 0) for t in tokens), np.int64, len(tokens))
-        codes = self.codes(numbers)
-        places = np.flatnonzero(np.isin(codes, self.codes_held)) if (codes >= 0).any() else ()
-        hits = defaultdict(list)
-        for at in places:
-            for template, place in self.index[int(codes[at])]:
-                hits[template].append(int(at) - place)
+        present = np.zeros(len(self.numbers) + 1, bool)
+        present[numbers] = True
+        present[0] = False
+        some = np.add.reduceat(present[self.flat].astype(np.int64), self.starts)
         finds = []
-        for template, diagonals in hits.items():
+        possible = np.flatnonzero((some > 0) & (some >= least * self.sizes)).tolist()
+        if possible:
+            # Words that are in no template are the most; the others are few.
+            ours = np.flatnonzero(numbers)
+            ours = ours[np.argsort(numbers[ours], kind="stable")]
+            edges_of = np.searchsorted(numbers[ours], np.arange(len(self.numbers) + 2))
+        for template in possible:
             words = self.words[template]
             # Narrow for short templates, so that the next copy is outside.
             band = min(BAND, max(1, len(words) // 4))
-            for diagonal in sorted(set(diagonals)):
+            diagonals = np.concatenate(
+                [ours[edges_of[w] : edges_of[w + 1]] - place for place, w in enumerate(words)]
+            )
+            held = np.bincount(diagonals + len(words), minlength=len(numbers) + len(words))
+            so_far = np.r_[0, np.cumsum(held)]
+            at = np.flatnonzero(held)
+            around = (
+                so_far[np.minimum(at + band + 1, len(held))] - so_far[np.maximum(at - band, 0)]
+            )
+            for diagonal in (at[around >= least * len(words)] - len(words)).tolist():
                 shift = max(0, diagonal - band)
                 near = numbers[shift : diagonal + band + len(words)].tolist()
                 matched, start, end = aligned(

@@ -67,3 +67,22 @@ def test_odd_rows(spark):
         *[(2, "all-rights-reserved", 1.0, 3, 60000, 60019)] * 2,
     ], key=str)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_every_variant_that_the_threshold_accepts():
+    """One word dropped, replaced or put in at each place, and edits spread over the notice."""
+    assert [f[:3] for f in T.found("x Released under MIT License y")] == [("MIT", 0.8, 4)]
+    assert [f[:3] for f in T.found("Released under an MIT License")] == [("MIT", 0.8, 4)]
+    for text in licenses.NOTICES.values():
+        words = licenses.TOKEN.findall(text)
+        most = len(words) - int(np.ceil(licenses.COVERAGE * len(words)))
+        spread = {int((k + 0.5) * len(words) / max(most, 1)) for k in range(most)}
+        variants = [[w for k, w in enumerate(words) if k not in spread]]
+        variants.append([f"new{k}" if k in spread else w for k, w in enumerate(words)])
+        for k in range(len(words)):
+            variants += [words[:k] + words[k + 1 :], [*words[:k], "new", *words[k + 1 :]], [*words[:k], "new", *words[k:]]]
+        for variant in variants:
+            text = f"some text {' '.join(variant)} and more"
+            full = brute(text)
+            names = {f[0] for f in T.found(text)}
+            assert names <= full and bool(names) == bool(full), text
