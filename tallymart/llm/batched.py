@@ -70,13 +70,14 @@ def least_hashed(
     """(group, key) of the ``most`` keys of each group with the least hashes, each once.
 
     ``sizes`` has the rows of each group, which are few.  Only hashes under a share
-    that leaves about four times as many rows are ranked, so what meets in one
+    that leaves about four times as many rows, or 64, are ranked, so what meets in one
     task does not grow with the table.
     """
     hashed = F.xxhash64(F.lit(5), key)
-    share = F.lit(0.0)
+    share = F  # one CASE, not nested: there may be many groups
     for name, size in sizes.items():
-        share = F.when(F.col(group) == name, min(1.0, 4 * most / max(size, 1))).otherwise(share)
+        share = share.when(F.col(group) == name, F.lit(min(1.0, max(4 * most, 64) / max(size, 1))))
+    share = share.otherwise(F.lit(0.0)) if sizes else F.lit(0.0)
     near = rows.where(F.pmod(hashed, F.lit(1 << 31)) / float(1 << 31) < share).select(group, key)
     order = Window.partitionBy(group).orderBy(F.pmod(hashed, F.lit(1 << 31)), key)
     ranked = near.distinct().withColumn("nth", F.row_number().over(order))

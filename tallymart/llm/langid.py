@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .batched import by_document, fold, sampled
 
 ORDER, BITS = 4, 18
-#: Bounds of the fit: training rows and landmarks of each language, languages.
+#: Bounds of the fit: training rows and landmarks of each of up to LANGUAGES languages;
+#: more languages share the rows and landmarks of so many, at least one each.
 TRAIN_ROWS, LANDMARKS, LANGUAGES = 400, 60, 100
 RIDGE = 1e-3
 BATCH = 64
@@ -77,9 +78,10 @@ def fitted(presences: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS)
     """Kernel ridge regression over landmarks from (language, buckets) of the training texts."""
     presences = [(lang, own) for lang, own in presences if len(own)]
     languages = sorted({lang for lang, _ in presences})
-    marks = [
-        own for lang in languages for own in [o for la, o in presences if la == lang][:landmarks]
-    ]
+    of = {lang: [] for lang in languages}
+    for lang, own in presences:
+        of[lang].append(own)
+    marks = [own for lang in languages for own in of[lang][:landmarks]]
     if not marks:
         return Model([], np.full(1 << BITS, -1, np.int32), np.zeros((0, 0), np.float32))
     used = np.unique(np.concatenate(marks))
@@ -99,8 +101,7 @@ def fitted(presences: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS)
     between = (held @ held.T).astype(float)
     goal = np.array([[1.0 if lang == la else -1.0 for la in languages] for lang, _ in presences])
     # Every language weighs alike, however many rows it has.
-    sizes = {la: sum(lang == la for lang, _ in presences) for la in languages}
-    weight = np.array([1 / sizes[lang] for lang, _ in presences])[:, None]
+    weight = np.array([1 / len(of[lang]) for lang, _ in presences])[:, None]
     system = kernel.T @ (weight * kernel) + RIDGE * between + 1e-9 * np.eye(len(marks))
     coefficients = np.linalg.solve(system, kernel.T @ (weight * goal))
     return Model(languages, buckets, (held.T @ coefficients).astype(np.float32))
@@ -109,24 +110,26 @@ def fitted(presences: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS)
 def train(
     docs: DataFrame, doc_id: str, text: str, lang: str, folds: int = 5, held_fold: int = 0
 ) -> Model:
-    """A model from a bounded sample: TRAIN_ROWS texts of each of the LANGUAGES most frequent
-    languages, of documents outside the held-out fold; null ids, texts and languages teach nothing."""
+    """A model of all languages from a bounded sample: TRAIN_ROWS texts of each, fewer where there
+    are more than LANGUAGES, of documents outside the held-out fold; null ids, texts and languages
+    teach nothing."""
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
         F.col(lang).cast("string").alias("lang"),
     ).where(F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != held_fold))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    sizes = {r["lang"]: r["count"] for r in common.collect()}
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return fitted([])
-    rows = rows.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isin(list(sizes)))
-    sample = sampled(rows, "lang", TRAIN_ROWS, sizes)
+    each = lambda most: max(1, min(most, most * LANGUAGES // len(sizes)))
+    sample = sampled(rows, "lang", each(TRAIN_ROWS), sizes)
     described = by_document(
         sample.withColumn("id", F.concat_ws(":", F.col("key").cast("string"), "lang")), "id", "text",
         lambda texts: ((grams(t).astype(np.int32).tobytes(),) for t in texts), "grams binary",
     )
     found = sorted((r["doc_id"].split(":", 1), r["grams"]) for r in described.collect())
-    return fitted([(lang, np.frombuffer(own, np.int32)) for (_, lang), own in found])
+    presences = [(lang, np.frombuffer(own, np.int32)) for (_, lang), own in found]
+    return fitted(presences, each(LANDMARKS))
 
 
 def predict(

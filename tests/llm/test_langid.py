@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -56,3 +57,16 @@ def test_odd_rows(spark):
     assert [r.held_out for r in got if r.doc_id is None] == [True]
     assert langid.predict(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in langid.predict(docs.where("lang is null")).collect()} == {"und"}
+
+
+def test_more_languages_than_the_fit_has_full_rows_for(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(langid.LANGUAGES + 20):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)]
+        rows += [(k * 100 + i, " ".join(rng.choices(words, k=30)), f"x{k}") for i in range(12 if k else 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs).collect()}
+    right = [got[i] == lang for i, _, lang in rows]
+    assert {got[i] for i, _, _ in rows} == {lang for _, _, lang in rows}
+    assert sum(right) > 0.98 * len(right)
