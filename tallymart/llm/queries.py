@@ -5,7 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, langid, licenses, near_dedup, packing, quality, secrets, sharding, toxicity, votes
+from . import (
+    bpe,
+    fingerprint,
+    langid,
+    licenses,
+    merkle,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    toxicity,
+    trie,
+    votes,
+    warc,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +71,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary, capacity=2048, end_id=0, special=True)
 
 
+def op11_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.round_trip(pages).drop("segments", "problem")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
@@ -67,4 +95,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_warc_archives": op11_warc_archives,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_conversation_trie": op13_conversation_trie,
 }
