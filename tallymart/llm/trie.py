@@ -78,7 +78,7 @@ def rebuilt(turns: DataFrame, every: int = 100, most: int = 6) -> tuple[DataFram
     convs = store(
         turns.groupBy("conv").agg(F.count("*").alias("n")).withColumn("h", h)
         .join(donors, F.expr(f"conv - conv % {every}") == F.col("donor"), "left")
-        .withColumn("k", F.coalesce(F.least(F.col("h"), F.size("lead")), F.lit(0)).cast("long"))
+        .withColumn("k", F.least(F.col("h"), F.coalesce(F.size("lead"), F.lit(0))).cast("long"))
         .select("conv", "n", "h", "k", F.slice("lead", F.lit(1), F.col("k").cast("int")).alias("lead")),
         "conversations",
     )
