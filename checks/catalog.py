@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from tallymart.plans import star as etl
 from tallymart.plans.totals import with_summaries
 from tallymart.rules import DEFAULT_RULES, Rules
 from tallymart.sources.driver_tables import broken_star
-from tallymart.sources.raw import RAW_FILES, RawTables, read_raw_csv
+from tallymart.sources.raw import RAW_FILES, RawTables, Staged, read_raw_csv, reject_counts, stage_raw_csv
 from tallymart.sources.shared import shared_dir
 from tallymart.sources.star import (
     Star,
@@ -88,6 +88,48 @@ def raw_csv(raw) -> RawTables:
     return read_raw_csv(spark, directory)
 
 
+def _quoted(value: Column) -> Column:
+    """A CSV field as other writers make it: quoted, quotes doubled."""
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def faulty_csv(raw) -> Staged:
+    """The raw tables as hand-made CSV lines, some of which do not fit, staged.
+
+    Items of every fifth order have no number as price in line 1, and every seventh
+    order's line 2 ends early; every eleventh order has no time but a word; every third
+    customer's line has a field too many.  Towns have commas and quotes in them.
+    """
+    spark = raw.orders.sparkSession
+    directory = shared_dir(spark, "raw")
+    order, number = F.col("order_id"), F.col("order_item_id")
+    lines = {name: [F.col(c) for c in df.columns] for name, df in raw._asdict().items()}
+    town = F.concat(F.lit('the "'), "customer_city", F.lit('", or so'))
+    lines["customers"][2] = town
+    lines["order_items"][3] = F.when((order % 5 == 0) & (number == 1), F.lit("free")).otherwise(F.col("price").cast("string"))
+    lines["orders"][2] = F.when(order % 11 == 0, F.lit("soon")).otherwise(F.col("order_purchase_timestamp").cast("string"))
+    for name, df in raw._asdict().items():
+        line = F.concat_ws(",", *map(_quoted, lines[name]))
+        if name == "order_items":
+            short = F.concat_ws(",", order.cast("string"), number.cast("string"))
+            line = F.when((order % 7 == 0) & (number == 2), short).otherwise(line)
+        if name == "customers":
+            line = F.when(F.col("customer_id") % 3 == 0, F.concat(line, F.lit(",x"))).otherwise(line)
+        # One column, its name the header, and a separator that no line has: lines go out as they are.
+        plain = {"header": True, "sep": "\x01", "quote": "\x00", "escapeQuotes": False}
+        df.select(line.alias(",".join(df.columns))).write.options(**plain).csv(f"{directory}/{RAW_FILES[name]}")
+    return stage_raw_csv(spark, directory)
+
+
+def raw_csv_rejects(raw) -> DataFrame:
+    return reject_counts(faulty_csv(raw).rejects)
+
+
+def raw_csv_kept_customers(raw) -> DataFrame:
+    return faulty_csv(raw).raw.customers.select("customer_id", "customer_city")
+
+
 def clean_csv_table(table: str) -> Callable:
     def back(raw) -> DataFrame:
         spark, directory = raw.orders.sparkSession, shared_dir(raw.orders.sparkSession, "clean")
@@ -219,6 +261,9 @@ QUERIES: dict[str, Query] = {
     "raw_csv_build": _on_raw("plain", lambda raw: etl.build_fact(raw_csv(raw))),
     "raw_csv_dim_customer": _on_raw("plain", lambda raw: etl.build_dim_customer(raw_csv(raw))),
     "raw_csv_dim_product": _on_raw("plain", lambda raw: etl.build_dim_product(raw_csv(raw))),
+    "raw_csv_rejects": _on_raw("plain", raw_csv_rejects),
+    "raw_csv_kept_customers": _on_raw("plain", raw_csv_kept_customers),
+    "raw_csv_kept_fact": _on_raw("plain", lambda raw: etl.build_fact(faulty_csv(raw).raw)),
     "clean_csv_dim_customer": _on_raw("plain", clean_csv_table("dim_customer")),
     "clean_csv_dim_product": _on_raw("plain", clean_csv_table("dim_product")),
     "clean_csv_dim_date": _on_raw("plain", clean_csv_table("dim_date")),

@@ -685,6 +685,25 @@ ORACLE: dict[str, str] = {
     "raw_csv_build": _plain(_CSV_FACT).replace(
         "ORDER BY product_id, price_c", "ORDER BY CAST(product_id AS VARCHAR), price_c"
     ),
+    "raw_csv_rejects": """
+ SELECT 'orders' AS table_name, 'order_purchase_timestamp is no timestamp_ntz' AS reason,
+  count(*) AS n_rows FROM orders WHERE o_orderkey % 11 = 0 HAVING count(*) > 0
+ UNION ALL SELECT 'order_items', 'price is no decimal(18,2)', count(*) FROM lineitem
+  WHERE l_orderkey % 5 = 0 AND l_linenumber = 1 HAVING count(*) > 0
+ UNION ALL SELECT 'order_items', 'number of fields', count(*) FROM lineitem
+  WHERE l_orderkey % 7 = 0 AND l_linenumber = 2 HAVING count(*) > 0
+ UNION ALL SELECT 'customers', 'number of fields', count(*) FROM customer
+  WHERE c_custkey % 3 = 0 HAVING count(*) > 0""",
+    "raw_csv_kept_customers": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+ 'the "' || c_mktsegment || '", or so' AS customer_city FROM customer WHERE c_custkey % 3 <> 0""",
+    "raw_csv_kept_fact": _plain(_CSV_FACT)
+    .replace("ORDER BY product_id, price_c", "ORDER BY CAST(product_id AS VARCHAR), price_c")
+    .replace("FROM orders)", "FROM orders WHERE o_orderkey % 11 <> 0)", 1)
+    .replace(
+        "FROM lineitem)",
+        "FROM lineitem WHERE NOT (l_orderkey % 5 = 0 AND l_linenumber = 1)"
+        " AND NOT (l_orderkey % 7 = 0 AND l_linenumber = 2))", 1,
+    ),
     "raw_csv_dim_customer": _plain(_CSV_CUSTOMER),
     "raw_csv_dim_product": _plain(_CSV_PRODUCT),
     "clean_csv_dim_customer": _plain(_CSV_CUSTOMER_KEYS),

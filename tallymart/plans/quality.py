@@ -109,11 +109,12 @@ def domain_violations(star: Star) -> DataFrame:
 
 def _counters(star: Star, table: str) -> DataFrame:
     """Rows, nulls and domain violations of a table in one pass, as report rows."""
-    counted = [value.alias(name) for name, value in _counter_columns(table).items()]
-    return _report_rows(getattr(star, table).agg(*counted))
+    counted = [value.alias(name) for name, value in counter_columns(table).items()]
+    return report_rows(getattr(star, table).agg(*counted))
 
 
-def _counter_columns(table: str) -> dict[str, Column]:
+def counter_columns(table: str) -> dict[str, Column]:
+    """What a pass over the table counts, by check/table/subject."""
     counters = {f"row_count/{table}/*": F.count("*")}
     for column in NOT_NULL[table]:
         counters[f"nulls/{table}/{column}"] = F.count_if(F.col(column).isNull())
@@ -126,51 +127,49 @@ def _counter_columns(table: str) -> dict[str, Column]:
 def validation_report(star: Star) -> DataFrame:
     """All checks in one shape: what was checked, on what, and how many.
 
-    The fact is read twice, once per key and once per order.
+    The fact is read three times: for the counters, which need no shuffle, for its keys
+    alone, and once per order.
     """
-    tables = [_counters(star, table) for table in NOT_NULL if table != "fact_orders"]
+    return _union([*(_counters(star, table) for table in NOT_NULL), key_report(star)])
+
+
+def key_report(star: Star) -> DataFrame:
+    """The part of the report that compares rows: repeated keys, orphans, mixed orders."""
     duplicates = duplicate_keys(star, [u for u in UNIQUE if u[0] != "fact_orders"]).select(
         F.lit("duplicates").alias("check_name"),
         "table_name",
         F.col("key_columns").alias("subject"),
         F.col("extra_rows").alias("n"),
     )
-    return _union([*tables, duplicates, _fact_by_key(star), _fact_by_order(star)])
+    return _union([duplicates, _fact_by_key(star), _fact_by_order(star)])
 
 
 def _fact_by_key(star: Star) -> DataFrame:
-    """The fact's counters and orphans in one pass.
-
-    Each row stands once under every foreign key, so what is counted under the
-    first one is counted once per row.
-    """
-    counted = {name: value for name, value in _counter_columns("fact_orders").items()}
+    """The fact's orphans in one pass over its key columns: each row stands under every key."""
     keys = F.array(
         *(
             F.struct(F.lit(i).alias("fk"), F.col(column).cast("bigint").alias("key"))
             for i, (column, _, _) in enumerate(FOREIGN_KEYS)
         )
     )
-    stood = star.fact_orders.select("*", F.inline(keys))
-    per_key = stood.groupBy("fk", "key").agg(
-        F.count("*").alias("rows"), *(value.alias(name) for name, value in counted.items())
-    )
+    stood = star.fact_orders.select(F.inline(keys))
+    per_key = stood.groupBy("fk", "key").agg(F.count("*").alias("rows"))
     known = _union(
         [
-            getattr(star, table).select(
-                F.lit(i).alias("fk"), F.col(key).cast("bigint").alias("key"), F.lit(1).alias("known")
-            )
+            getattr(star, table).select(F.lit(i).alias("fk"), F.col(key).cast("bigint").alias("key"))
             for i, (_, table, key) in enumerate(FOREIGN_KEYS)
         ]
-    ).distinct()
-    first, missing = F.col("fk") == 0, F.col("known").isNull()
-    sums = {name: F.when(first, F.col(name)) for name in counted}
-    for i, (column, table, _) in enumerate(FOREIGN_KEYS):
-        sums[f"orphans/{table}/{column}"] = F.when((F.col("fk") == i) & missing, F.col("rows"))
-    total = per_key.join(known, ["fk", "key"], "left").agg(
-        *(F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in sums.items())
     )
-    return _report_rows(total)
+    # A repeated dimension key does not repeat rows here, and a null key finds none.
+    missing = per_key.join(known, ["fk", "key"], "left_anti")
+    return report_rows(
+        missing.agg(
+            *(
+                F.coalesce(F.sum(F.when(F.col("fk") == i, F.col("rows"))), F.lit(0)).alias(f"orphans/{table}/{column}")
+                for i, (column, table, _) in enumerate(FOREIGN_KEYS)
+            )
+        )
+    )
 
 
 def _fact_by_order(star: Star) -> DataFrame:
@@ -183,7 +182,7 @@ def _fact_by_order(star: Star) -> DataFrame:
     orders = pairs.groupBy("order_id").agg(
         F.sum(F.col("n") - 1).alias("extra"), F.min("low").alias("low"), F.max("high").alias("high")
     )
-    return _report_rows(
+    return report_rows(
         orders.agg(
             F.coalesce(F.sum("extra"), F.lit(0)).alias(f"duplicates/fact_orders/{', '.join(pair)}"),
             F.count_if(F.col("low") != F.col("high")).alias("mixed_orders/fact_orders/order_id"),
@@ -191,7 +190,7 @@ def _fact_by_order(star: Star) -> DataFrame:
     )
 
 
-def _report_rows(counts: DataFrame) -> DataFrame:
+def report_rows(counts: DataFrame) -> DataFrame:
     """One row of counters named check/table/subject as report rows."""
     name = F.split("name", "/")
     return unpivot_counts(counts, "name", "n").select(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import channel_of, money, payment_status_of, ratio, segment_of
@@ -106,15 +106,28 @@ def priced(items: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def build_fact(raw: RawTables, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Clean fact at item grain, with natural ids."""
-    return (
+def build_fact(
+    raw: RawTables, rules: Rules = DEFAULT_RULES, seen: Observation | None = None
+) -> DataFrame:
+    """Clean fact at item grain, with natural ids.
+
+    ``seen`` counts the rows by what becomes of them, behind the last shuffle.  The filters
+    then stay above the join, so rows that they drop are shuffled as well.
+    """
+    usable = complete("order_date", "customer_id", "product_id")
+    items = (
         priced(unique_items(raw), rules)
         .join(order_headers(raw), "order_id", "left")
         .select("order_id", "order_date", "customer_id", "product_id", *FACT_MEASURES)
-        .where(complete("order_date", "customer_id", "product_id"))
-        .where(F.col("revenue") > 0)
     )
+    if seen is not None:
+        items = items.observe(
+            seen,
+            F.count(F.lit(1)).alias("items_unique"),
+            F.count_if(~usable).alias("items_incomplete"),
+            F.count_if(usable & (F.col("revenue") > 0)).alias("fact_orders"),
+        )
+    return items.where(usable).where(F.col("revenue") > 0)
 
 
 # -- dimensions --------------------------------------------------------------

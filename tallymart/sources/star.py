@@ -42,16 +42,19 @@ def write_clean(star: Star, directory: str, fmt: str = "parquet") -> None:
 
     def write(name: str, df: DataFrame) -> None:
         writer = df.write.mode("overwrite").format(fmt)
-        if fmt == "csv":
-            writer = writer.option("header", True)
+        if fmt == "csv":  # a quote inside a quoted field is doubled
+            writer = writer.option("header", True).option("escape", '"')
         writer.save(f"{directory}/{name}")
 
     jobs = [partial(write, name, df) for name, df in star.tables().items()]
     together(star.fact_orders.sparkSession, *jobs)
 
 
-def read_clean(spark: SparkSession, directory: str, fmt: str = "parquet") -> Star:
-    return Star(**{name: _read(spark, directory, name, fmt, CLEAN) for name in TABLES})
+def read_clean(
+    spark: SparkSession, directory: str, fmt: str = "parquet", multi_line: bool = False
+) -> Star:
+    """``multi_line`` is for CSV with line breaks inside fields; a file is then read by one task."""
+    return Star(**{name: _read(spark, directory, name, fmt, CLEAN, multi_line) for name in TABLES})
 
 
 def write_fact(fact: DataFrame, directory: str) -> None:
@@ -74,33 +77,51 @@ def write_dimension(star: Star, name: str, directory: str) -> None:
     getattr(star, name).write.mode("overwrite").parquet(f"{directory}/{name}")
 
 
-def write_warehouse(star: Star, directory: str, keep: int = 2) -> None:
-    """Replace the warehouse as a whole.
-
-    The tables are written to a folder of their own; the file CURRENT, which names
-    that folder, is switched last.  A job that fails leaves the old star in place,
-    and a reader never sees keys of one build beside dimensions of another.  The
-    newest ``keep`` versions stay, for readers that have begun.
-    """
-    spark = star.fact_orders.sparkSession
+def write_version(star: Star, directory: str) -> str:
+    """Write the tables to a version folder of their own, which no reader looks at yet."""
     version = f"{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     target = f"{directory}/{version}"
     together(
-        spark,
+        star.fact_orders.sparkSession,
         lambda: write_fact(star.fact_orders, target),
         *[partial(write_dimension, star, name, target) for name in TABLES[1:]],
     )
+    return version
+
+
+def publish_version(spark: SparkSession, directory: str, version: str, keep: int = 2) -> None:
+    """Let readers see a written version; the newest ``keep`` stay, for readers that have begun."""
     _switch(spark, directory, version)
     _drop_old(spark, directory, keep)
 
 
-def read_warehouse(spark: SparkSession, directory: str) -> Star:
-    """The star of the version that CURRENT names now."""
-    version = spark.read.text(f"{directory}/{_CURRENT}").first()[0]
+def drop_version(spark: SparkSession, directory: str, version: str) -> None:
+    path, _, conf = _paths(spark, directory)
+    path(directory).getFileSystem(conf).delete(path(f"{directory}/{version}"), True)
+
+
+def write_warehouse(star: Star, directory: str, keep: int = 2) -> None:
+    """Replace the warehouse as a whole.
+
+    The tables are written to a folder of their own; the file CURRENT, which names
+    that folder, is switched last.  A job that fails leaves the old star in place,
+    and a reader never sees keys of one build beside dimensions of another.
+    ``plans.publish`` does the same behind the declared constraints.
+    """
+    version = write_version(star, directory)
+    publish_version(star.fact_orders.sparkSession, directory, version, keep)
+
+
+def read_version(spark: SparkSession, directory: str, version: str) -> Star:
     folder = f"{directory}/{version}"
     return Star(**{name: _read(spark, folder, name, "parquet", WAREHOUSE) for name in TABLES})
 
 
+def read_warehouse(spark: SparkSession, directory: str) -> Star:
+    """The star of the version that CURRENT names now."""
+    return read_version(spark, directory, spark.read.text(f"{directory}/{_CURRENT}").first()[0])
+
+
 def _paths(spark: SparkSession, directory: str):
     """Hadoop's Path class, the folder's file context, and Spark's configuration."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -135,8 +156,10 @@ def register_views(star: Star) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _read(spark: SparkSession, directory: str, name: str, fmt: str, schemas: dict) -> DataFrame:
+def _read(
+    spark: SparkSession, directory: str, name: str, fmt: str, schemas: dict, multi_line: bool = False
+) -> DataFrame:
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
     return conform(reader.load(f"{directory}/{name}"), schemas[name], keep_ids=fmt != "csv")
