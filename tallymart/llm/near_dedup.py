@@ -132,32 +132,29 @@ def keep_one_each(
     ``docs``.  Rows are found again by two hashes of all their columns, never by
     place, which a changed number of executors may shift between two scans.
     """
-    columns = [
-        F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)
-    ]
+    # The row travels as one column, so none of its names can clash.
+    named = {f.name: F.col("`" + f.name.replace("`", "``") + "`") for f in docs.schema.fields}
+    columns = [named[f.name] for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
     whole = [*columns, *(c.isNull() for c in columns)]
-    hashes = [F.xxhash64(F.lit(salt), *whole).alias(f"__hash{salt}") for salt in (1, 2)]
-    key = ["__hash1", "__hash2"]
-    keyed = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), filled(F.col(f"`{text}`")).alias("text"), *hashes
-    )
+    key = ["hash1", "hash2"]
+    hashes = [F.xxhash64(F.lit(salt), *whole).alias(f"hash{salt}") for salt in (1, 2)]
+    keyed = docs.select(named[doc_id].alias("doc_id"), filled(named[text]).alias("text"), *hashes)
     marked = store(
         shingle_fingerprints(keyed, "text", shingle, ["doc_id", *key], "fingerprint"), "simhash"
     )
-    groups = near_groups(marked.withColumn("_own", F.col("fingerprint")), "fingerprint", "_own", radius)
+    groups = near_groups(marked.withColumn("own", F.col("fingerprint")), "fingerprint", "own", radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *key))
     kept = (
         marked.join(groups, "fingerprint")
         .groupBy("component_id")
         .agg(first.alias("first"))
-        .select("first.__hash1", "first.__hash2")
+        .select("first.hash1", "first.hash2")
     )
     # The rank needs no shuffle beside that of the join.
-    alike = Window.partitionBy(*key).orderBy("__hash1")
-    found = docs.select("*", *hashes).join(kept, key, "left_semi")
-    return (
-        found.withColumn("__nth", F.row_number().over(alike)).where("__nth = 1").select(*docs.columns)
-    )
+    alike = Window.partitionBy(*key).orderBy("hash1")
+    rows = docs.select(F.struct(*(c.alias(n) for n, c in named.items())).alias("row"), *hashes)
+    found = rows.join(kept, key, "left_semi").withColumn("nth", F.row_number().over(alike))
+    return found.where("nth = 1").select(*(F.col("row")[n].alias(n) for n in docs.columns))
 
 
 def _around(value: Column, steps: int) -> Column:

@@ -184,7 +184,8 @@ def by_rejection_per_cost(
     if not total:
         return list(rules)
     sample = docs.select(F.col(f"`{text}`").alias("text"))
-    sample = sample.sample(min(1.0, rows / total), seed).coalesce(8)
+    # All tasks of the scan sample; what they found, about ``rows`` rows, is dealt to a few.
+    sample = sample.sample(min(1.0, rows / total), seed).repartition(8)
     sample = prepared(sample, "text", ["text"]).drop("_doc").persist()
     try:
         sample.count()
@@ -218,7 +219,11 @@ def judged(
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that no rule rejects, with the columns of ``docs``."""
+    """The documents that no rule rejects, with the columns of ``docs``.
+
+    A null text has no words and is rejected; repeated rows are judged alike and stay
+    repeated.  No rows give none.
+    """
     kept = judged(docs, text).where(F.col("failed_rule").isNull())
     return kept.select(*(F.col("_doc")[c].alias(c) for c in docs.columns))
 

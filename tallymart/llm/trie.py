@@ -308,7 +308,14 @@ def burst_trie(
     containers, levels, states = [], [], []
     depth = 0
     while True:
-        dealt = placed.join(heads.select("head", "parent", "chars", "n", "rest"), "head")
+        if depth:
+            dealt = placed.join(heads.select("head", "parent", "chars", "n", "rest"), "head")
+        else:  # one head, so its one row needs no join
+            root = heads.first() or {"n": 0, "rest": 0}
+            dealt = placed.select(
+                "*", none.alias("parent"), F.lit(0).cast("long").alias("chars"),
+                F.lit(root["n"]).cast("long").alias("n"), F.lit(root["rest"]).cast("long").alias("rest"),
+            )
         containers.append(
             store(
                 dealt.where(~large).select(

@@ -97,3 +97,16 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 4, 8, 9]
     assert near_dedup.simhash_groups(docs.limit(0)).count() == 0
     assert near_dedup.keep_one_each(docs.limit(0)).count() == 0
+
+
+def test_any_columns_come_back(spark):
+    """Names that the operator might use itself, dots, quotes and maps."""
+    rows = [(5, "a b c", k, f"h{k}", k * 2, {"k": k}, "q") for k in (7, 8, 9)]
+    rows += [(k, f"text number {k} of some", 10 + k, None, None, None, None) for k in (1, 2)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, __nth int, __hash1 string, `a.b` int, row map<string,int>, `q``q` string"
+    ).selectExpr("*", "__nth AS nth", "__nth AS hash1", "__nth AS fingerprint", "__nth AS own")
+    kept = near_dedup.keep_one_each(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    out = {tuple(map(str, r)) for r in kept.collect()}
+    assert len(out) == 3 and out <= {tuple(map(str, r)) for r in docs.collect()}
