@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.llm import near_dedup, packing, quality, secrets, toxicity
-from tallymart.sources.shared import store
+from tallymart.sources.shared import forget, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each but the last is written and read again."""
+    """All stages over documents; each but the last is written and read again.
+
+    A stage's table is deleted when the next one is written.  Extra columns of documents
+    go through all stages but the last, repeated rows end at the near-dedup, null and empty
+    texts at the quality rules, and no documents give no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     *first, (_, last) = STAGES
     for name, stage in first:
-        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        forget(before)
     return last(spark, docs, sf_dir)

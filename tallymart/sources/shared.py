@@ -50,7 +50,18 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, partition for partition."""
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table that ``store`` wrote, once nothing reads it any more; others are left alone."""
+    path = getattr(df, "_stored_at", None)
+    if path is not None:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def together(spark: SparkSession, *jobs: Callable) -> list:
