@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import store
+from ..sources.shared import forget, store
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -29,7 +29,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if state == seen or not state["n"]:
             break
         seen = state
-        links = store(_small_star(_large_star(links)), "links")
+        before, links = links, store(_small_star(_large_star(links)), "links")
+        forget(before)
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

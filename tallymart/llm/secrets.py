@@ -3,10 +3,12 @@
 Strong patterns stand for themselves.  Weak ones - account names, opaque values,
 endpoints - are reported only where the parts of a credential meet: an interval
 join of access identifiers, secrets and endpoints that lie within ``REACH`` code
-points of each other.  Strong finds count as parts, too.  A ``Linking`` says how
-many roles have to meet and from where the distance counts; with PAIRS an identifier
-and a secret, or an endpoint and either, are enough, and it counts between the end
-of one part and the start of the next, so a long part pushes no neighbour away.
+points of each other.  Strong finds count as parts, too.  With ALL_ROLES all three
+roles have to meet, from start to start.  With PAIRS two parts that complement each
+other are enough (see ``_complemented``), from the end of one to the start of the
+other, so a long part pushes no neighbour away; parts that overlap never complement
+each other, and an ordinary link is no credential: neither with a number or name that
+stands in its own path nor with a hash or an account beside it.
 
 Everything is a projection of the row: matches and the text between them give
 the offsets, and the join sweeps the row's own sorted parts, once forwards and once
@@ -41,16 +43,12 @@ class Kind:
 
 @dataclass(frozen=True)
 class Linking:
-    """The least number of roles, its own included, that a weak part has within reach.
+    """How the parts of a credential meet: in ``pairs``, or all roles from start to start."""
 
-    Reach is from start to start or, with ``gaps``, from the end of one to the start of the other.
-    """
-
-    least_roles: int = len(ROLES)
-    gaps: bool = False
+    pairs: bool = False
 
 
-ALL_ROLES, PAIRS = Linking(), Linking(2, True)
+ALL_ROLES, PAIRS = Linking(), Linking(True)
 
 #: Names may have a prefix, as in DB_HOST.
 _NAME = r"(?<![A-Za-z0-9])"
@@ -84,6 +82,22 @@ WEAK = (
 )
 KINDS = BASE + WEAK
 
+#: What a part can stand for in a pair, as bits.  A secret is named, with or without a digit in it,
+#: or bare, a value that nothing names; an endpoint is a named host or a link.
+_ID, _NAMED, _PLAIN, _BARE, _HOST, _LINK = (1 << k for k in range(6))
+_CLASSES = (_ID, _NAMED, _PLAIN, _BARE, _HOST, _LINK)
+_BARE_KINDS = ("hex", "opaque")
+#: A link that is a credential by itself: a password in its user information, or a named secret as a query value.
+_LOADED = (
+    r"(?i)://[^/?#@]*:[^/?#@]+@"
+    r"|[?&#;](?:[^=&;]*[_.-])?(?:pwd|passw(?:or)?d|secret|token|api_?key|access_?key|auth|credential|sig(?:nature)?)"
+    r"=(?=[^&;]{0,500}[0-9])[^&;]{6,}"
+)
+#: A named address that is an ordinary link.
+_NAMED_LINK = rf"(?i){_SET}https?://"
+#: A named host that looks like an address.
+_ADDRESS = rf"(?i){_SET}[A-Za-z0-9_-]*[.:/0-9]"
+
 # A hex run is taken whole wherever it is long enough, so the short runs of
 # ordinary words need not be listed and dropped.
 _FAST = {"hex": r"[0-9a-f]{24,}", "access": r"AKIA[A-Z0-9]{16,}"}
@@ -167,57 +181,163 @@ def with_spans(df: DataFrame, linking: Linking = ALL_ROLES) -> DataFrame:
             df = _found(df, kind, F.col("_linkable") & _possible(kind))
     of = lambda kinds: F.concat(*(F.col(f"_spans_{k.name}") for k in kinds))
     df = df.withColumn("_base", F.sort_array(of(BASE)))
-    df = df.withColumn("_parts", F.when(F.col("_linkable"), F.sort_array(of(KINDS))))
-    df = df.withColumn("_before", F.when(F.col("_linkable"), _met(F.col("_parts"), linking, False)))
-    df = df.withColumn("_behind", F.when(F.col("_linkable"), _met(F.col("_parts"), linking, True)))
-    df = df.withColumn("_linked", F.when(F.col("_linkable"), _linked(linking)))
+    linkable = F.col("_linkable")
+    df = df.withColumn("_parts", F.when(linkable, F.sort_array(of(KINDS))))
+    if linking.pairs:
+        df = df.withColumn("_stand", F.when(linkable, _classes(F.col("_parts"))))
+        df = df.withColumn("_edges", F.when(linkable, _edges(F.col("_parts"), F.col("_stand"))))
+        df = df.withColumn("_before", F.when(linkable, _near(F.col("_edges"), False)))
+        df = df.withColumn("_behind", F.when(linkable, _near(F.col("_edges"), True)))
+        df = df.withColumn("_linked", F.when(linkable, _complemented()))
+    else:
+        df = df.withColumn("_before", F.when(linkable, _met(F.col("_parts"), False)))
+        df = df.withColumn("_behind", F.when(linkable, _met(F.col("_parts"), True)))
+        df = df.withColumn("_linked", F.when(linkable, _linked()))
     none = F.slice("_base", 1, 0)
     df = df.withColumn("_all", F.sort_array(F.concat("_base", F.coalesce("_linked", none))))
     return df.drop(
-        "_low", "_linkable", "_parts", "_before", "_behind", "_linked",
+        "_low", "_linkable", "_parts", "_stand", "_edges", "_before", "_behind", "_linked",
         *(f"_spans_{k.name}" for k in KINDS),
     )
 
 
-def _met(parts: Column, linking: Linking, back: bool) -> Column:
-    """For each part in the order of the sweep, the roles met so far as bits, its own included.
-
-    Forwards, a role is kept by the furthest end of its parts so far, as a long part
-    may end behind later ones; backwards, by the start of the nearest.
-    """
+def _met(parts: Column, back: bool) -> Column:
+    """For each part in the order of the sweep, the roles met so far as bits, its own included."""
     far = F.lit(1 << 30) if back else F.lit(-(1 << 30))
 
     def step(done: Column, own: Column) -> Column:
-        end = own["end"] if linking.gaps else own["start"]
         bits, at = F.lit(0), []
         for k, role in enumerate(ROLES):
             mine, held = own["role"] == role, done[role]
-            if back:
-                near = held <= end + REACH
-                moved = own["start"]
-            else:
-                near = held >= own["start"] - REACH
-                moved = F.greatest(held, end)
+            near = held <= own["start"] + REACH if back else held >= own["start"] - REACH
             bits = bits + F.when(mine | near, 1 << k).otherwise(0)
-            at.append(F.when(mine, moved).otherwise(held).alias(role))
+            at.append(F.when(mine, own["start"]).otherwise(held).alias(role))
         return F.struct(*at, F.array_append(done["bits"], bits).alias("bits"))
 
     start = F.struct(*(far.alias(role) for role in ROLES), F.array().cast("array<int>").alias("bits"))
     return F.aggregate(F.reverse(parts) if back else parts, start, step, lambda done: done["bits"])
 
 
-def _linked(linking: Linking) -> Column:
-    """The weak parts that have parts of enough roles within reach."""
+def _linked() -> Column:
+    """The weak parts that have parts of all roles within reach."""
     parts, n = F.col("_parts"), F.size("_parts")
 
     def meets(i: Column) -> Column:
         bits = F.get(F.col("_before"), i).bitwiseOR(F.get(F.col("_behind"), n - 1 - i))
         weak = F.get(parts, i)["rank"] >= len(BASE)
-        return weak & (F.bit_count(bits) >= linking.least_roles)
+        return weak & (F.bit_count(bits) == len(ROLES))
 
     return F.transform(F.filter(indexes(n), meets), lambda i: F.get(parts, i))
 
 
+def _classes(parts: Column) -> Column:
+    """What each part stands for in a pair, one of ``_CLASSES``, or 0 for nothing.
+
+    A part inside a link is none of its own: a bare value there counts only after an equals
+    sign, as a query value, and a named secret counts as a bare one.
+    """
+    body = F.col("_text")
+
+    def of(own: Column, until: Column) -> Column:
+        inside = own["start"] < until
+        shown = F.substring(body, own["start"] + 1, own["end"] - own["start"])
+        named = F.when(inside, _BARE).when(shown.rlike("[0-9]"), _NAMED).otherwise(_PLAIN)
+        bare = F.when(inside & (F.substring(body, own["start"], F.lit(1)) != "="), 0).otherwise(_BARE)
+        return (
+            F.when(own["role"] == IDENTIFIER, _ID)
+            .when(own["kind"].isin(*_BARE_KINDS), bare)
+            .when(own["role"] == SECRET, named)
+            .when((own["kind"] == "endpoint") | shown.rlike(_NAMED_LINK), _LINK)
+            .when(shown.rlike(_ADDRESS), _HOST)
+            .otherwise(0)
+        )
+
+    def step(done: Column, own: Column) -> Column:
+        link = own["kind"] == "endpoint"
+        return F.struct(
+            F.when(link, F.greatest(done["until"], own["end"])).otherwise(done["until"]).alias("until"),
+            F.array_append(done["out"], of(own, done["until"])).alias("out"),
+        )
+
+    start = F.struct(F.lit(0).alias("until"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(parts, start, step, lambda done: done["out"])
+
+
+def _edges(parts: Column, stand: Column) -> Column:
+    """Ends (side 0) and starts (side 1) of all parts in order: (at, side, i, stand)."""
+    at = lambda side, name: F.transform(
+        indexes(F.size(parts)),
+        lambda i: F.struct(
+            F.get(parts, i)[name].alias("at"), F.lit(side).alias("side"), i.alias("i"),
+            F.get(stand, i).alias("stand"),
+        ),
+    )
+    return F.sort_array(F.concat(at(0, "end"), at(1, "start")))
+
+
+def _near(edges: Column, back: bool) -> Column:
+    """For each part, by number, the classes of the parts wholly before (behind) it within reach, as bits.
+
+    The sweep keeps the nearest end (start) of each class; an end counts before a start at
+    the same place, so parts that touch are near and parts that overlap are not.
+    """
+    far = F.lit(1 << 30) if back else F.lit(-(1 << 30))
+    kept, asks = (1, 0) if back else (0, 1)
+
+    def step(done: Column, edge: Column) -> Column:
+        at, bits = [], F.lit(0)
+        for stand in _CLASSES:
+            held = done[f"c{stand}"]
+            near = held <= edge["at"] + REACH if back else held >= edge["at"] - REACH
+            bits = bits + F.when(near, stand).otherwise(0)
+            mine = (edge["side"] == kept) & (edge["stand"] == stand)
+            at.append(F.when(mine, edge["at"]).otherwise(held).alias(f"c{stand}"))
+        told = F.array_append(done["out"], F.struct(edge["i"].alias("i"), bits.alias("bits")))
+        return F.struct(*at, F.when(edge["side"] == asks, told).otherwise(done["out"]).alias("out"))
+
+    start = F.struct(
+        *(far.alias(f"c{stand}") for stand in _CLASSES),
+        F.array().cast("array<struct<i:int,bits:int>>").alias("out"),
+    )
+    told = F.aggregate(F.reverse(edges) if back else edges, start, step, lambda done: done["out"])
+    return F.transform(F.sort_array(told), lambda t: t["bits"])
+
+
+def _complemented() -> Column:
+    """The weak parts that are half of a credential.
+
+    An identifier goes with any secret; a named secret with an identifier, a named host or,
+    if it has a digit, a link; a bare one with an identifier.  An endpoint goes with a
+    named secret (a link: with a digit), or with an identifier and a secret; a link also
+    stands alone where it carries a secret itself.
+    """
+    parts, body = F.col("_parts"), F.col("_text")
+    any_secret, endpoint = _NAMED | _PLAIN | _BARE, _HOST | _LINK
+
+    def meets(i: Column) -> Column:
+        part, stand = F.get(parts, i), F.get(F.col("_stand"), i)
+        bits = F.get(F.col("_before"), i).bitwiseOR(F.get(F.col("_behind"), i))
+        has = lambda mask: bits.bitwiseAND(F.lit(mask)) != 0
+        whole = has(_ID) & has(any_secret)
+        goes = (
+            F.when(stand == _ID, has(any_secret))
+            .when(stand == _NAMED, has(_ID | endpoint))
+            .when(stand == _PLAIN, has(_ID | _HOST))
+            .when(stand == _BARE, has(_ID))
+            .when(stand == _HOST, has(_NAMED | _PLAIN) | whole)
+            .when(stand == _LINK, has(_NAMED) | whole | _carries(part, body))
+            .otherwise(F.lit(False))
+        )
+        return (part["rank"] >= len(BASE)) & goes
+
+    return F.transform(F.filter(indexes(F.size(parts)), meets), lambda i: F.get(parts, i))
+
+
+def _carries(span: Column, body: Column) -> Column:
+    """Whether a link carries a secret itself."""
+    return F.substring(body, span["start"] + 1, span["end"] - span["start"]).rlike(_LOADED)
+
+
 def as_text(spans: str) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     return F.array_join(
@@ -249,12 +369,18 @@ def redacted(
 ) -> DataFrame:
     """The documents with each span replaced by ``[kind]``, columns as in ``docs``.
 
-    Overlapping spans are replaced as one, by the first's kind.  ``size``, where there
-    is such a column, becomes the number of code points of a text that changed.
+    Overlapping spans are replaced as one, by the first's kind.  In pairs, an endpoint
+    is replaced only if it carries a secret itself or overlaps one; others stay readable.
+    ``size``, where there is such a column, becomes the number of code points of a text
+    that changed.  Null and empty texts stay as they are, repeated rows are treated alike,
+    no rows give none.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
     found = with_spans(docs.select(row, filled(F.col(f"`{text}`")).alias("_text")), linking)
     body = F.col("_text")
+    if linking.pairs:
+        ends = lambda s: s["kind"].isin("endpoint", "host") & ~_carries(s, body)
+        found = found.withColumn("_all", F.filter("_all", lambda s: ~ends(s)))
 
     def step(done: Column, span: Column) -> Column:
         before = F.substring(body, done["at"] + 1, F.greatest(span["start"] - done["at"], F.lit(0)))
