@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,6 +40,19 @@ def by_document(
     return made.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+    """(place, texts) of runs of at most ``most`` bytes, or of one text; only these become Python strings."""
+    sizes = pa.compute.binary_length(texts.cast(pa.binary())).to_pylist()
+    start = held = 0
+    for k, size in enumerate(sizes):
+        if held and held + size > most:
+            yield start, texts.slice(start, k - start).to_pylist()
+            start, held = k, 0
+        held += size
+    if start < len(sizes):
+        yield start, texts.slice(start).to_pylist()
+
+
 def keep_rows(docs: DataFrame, text: str, keep: Callable[[list[str]], list[bool]]) -> DataFrame:
     """The rows for whose text ``keep`` says so, all columns untouched; null texts are empty."""
     at = docs.columns.index(text)

@@ -7,8 +7,7 @@ to all of its positions at a time; only the touched neighbours are looked up ane
 and enter the index.  Texts are then put together from the pieces' ids.
 
 A text is cut at single spaces before the pattern is matched, so each distinct
-run between spaces is matched once per batch.  A task keeps the ids of the runs it has
-met in a bounded table from batch to batch; a run that was dropped is replayed again.
+run between spaces is matched once per batch.
 """
 
 from __future__ import annotations
@@ -29,9 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a batch of texts that are encoded together.
-BATCH_CHARS = 2_000_000
-#: Runs that a task keeps the ids of, and the longest run that is kept, in characters.
-KEPT_RUNS, KEPT_CHARS = 150_000, 40
+BATCH_CHARS = 5_000_000
 _NEVER = np.int32(2**31 - 1)
 #: Where a space has white space on its left, a run of it reaches over the cut.
 _BLANK_THEN_SPACE = tuple(f"{c} " for c in "\t\n\x0b\x0c\r \x85\xa0")
@@ -255,26 +252,13 @@ class Vocabulary:
         return flat, starts, number
 
 
-def _beside(
-    ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, kept: list[bytes | None]
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, starts and sizes of all runs: the kept ones' ids stand behind those of the others."""
-    is_fresh = np.fromiter((k is None for k in kept), bool, len(kept))
-    known = [k for k in kept if k is not None]
-    known_sizes = np.fromiter((len(k) // 4 for k in known), np.int64, len(known))
-    all_starts, all_sizes = np.zeros(len(kept), np.int64), np.zeros(len(kept), np.int64)
-    all_starts[is_fresh], all_sizes[is_fresh] = starts, sizes
-    all_sizes[~is_fresh] = known_sizes
-    all_starts[~is_fresh] = len(ids) + np.cumsum(known_sizes) - known_sizes
-    return np.r_[ids, np.frombuffer(b"".join(known), np.uint32)], all_starts, all_sizes
-
-
 class Encoder:
-    """Encodes batches of texts; up to about ``kept_runs`` runs of earlier batches are looked up."""
+    """Encodes batches of texts."""
 
-    def __init__(self, vocabulary: Vocabulary, kept_runs: int = KEPT_RUNS):
-        self.vocabulary, self.kept_runs = vocabulary, kept_runs
-        self.kept: dict[str, bytes] = {}
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        # Most runs are one word, which is one match of the pattern.
+        self.word = re.compile(rf" ?[{_class('L')}]+\Z")
         self.latin, self.full = _latin_pattern(), _full_pattern()
         self.beyond = re.compile("[^\x00-ɏ]")
         # The longest first, where one begins another.
@@ -311,13 +295,16 @@ class Encoder:
         for text in texts:
             parts = self.parts(text)
             numbered.append(np.fromiter(map(runs.__getitem__, parts), np.int32, len(parts)))
-        kept = [self.kept.get(run) for run in runs]
-        fresh = [run for run, ids in zip(runs, kept, strict=True) if ids is None]
         held_sizes, held = array("q"), array("q")  # numbers side by side, not as objects
-        for run in fresh:
-            inside = [run] if isinstance(run, int) else self.pieces(run)
-            held_sizes.append(len(inside))
-            held.extend(map(pieces.__getitem__, inside))
+        for run in runs:
+            if isinstance(run, int) or self.word.match(run):
+                held_sizes.append(1)
+                held.append(pieces[run])
+            else:
+                inside = self.pieces(run)
+                held_sizes.append(len(inside))
+                held.extend(map(pieces.__getitem__, inside))
+        del runs
         run_sizes, run_flat = np.frombuffer(held_sizes, np.int64), np.frombuffer(held, np.int64)
         flat, starts, sizes = self._encode_pieces(
             [p if isinstance(p, int) else p.encode() for p in pieces]
@@ -328,23 +315,9 @@ class Encoder:
         ends = np.cumsum(run_sizes)
         id_starts = edges[ends - run_sizes]
         id_sizes = edges[ends] - id_starts
-        self._keep(fresh, ids, id_starts, id_sizes)
-        if len(fresh) < len(kept):
-            ids, id_starts, id_sizes = _beside(ids, id_starts, id_sizes, kept)
-        del runs, kept, fresh
         for parts in numbered:
             yield gathered(ids, id_starts, id_sizes, parts)
 
-    def _keep(self, runs: list, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
-        """Adds short runs to the table; a full one is emptied first."""
-        if len(self.kept) + len(runs) > self.kept_runs:
-            self.kept = {}
-        for run, start, size in zip(runs, starts.tolist(), sizes.tolist(), strict=True):
-            if len(self.kept) >= self.kept_runs:
-                break
-            if isinstance(run, str) and len(run) <= KEPT_CHARS:
-                self.kept[run] = ids[start : start + size].tobytes()
-
     def _encode_pieces(self, pieces: list[bytes | int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         known = self.vocabulary.known
         rest = [p for p in pieces if p not in known]

@@ -17,12 +17,13 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import store
-from .bpe import Encoder, Vocabulary, batches
+from .batched import slices
+from .bpe import BATCH_CHARS, Encoder, Vocabulary
 
 BUCKETS = 256
 
@@ -138,28 +139,32 @@ def token_pieces(
     """
     encoder = Encoder(Vocabulary.from_json(vocabulary, special))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "bucket"]
+    types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealt = 0
-        for frame in frames:
-            texts, ids_of = frame["text"].tolist(), frame["doc_id"].tolist()
-            rows = []
-            for part in batches(texts):
-                for doc, ids in zip(ids_of[part], encoder.encode(texts[part]), strict=True):
+        for part in parts:
+            docs_of = part.column(0).to_pylist()
+            for first, texts in slices(part.column(1), BATCH_CHARS):
+                rows = []
+                for at, ids in enumerate(encoder.encode(texts), first):
                     ids = np.append(ids, end_id).astype("<u4")
                     for k, (start, length) in enumerate(cut(len(ids), capacity)):
                         crc = zlib.crc32(ids[start : start + length])
-                        rows.append((doc, k, start, length, crc, dealt % BUCKETS))
+                        rows.append((docs_of[at], k, start, length, crc, dealt % BUCKETS))
                         dealt += 1
-            yield pd.DataFrame(
-                rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "bucket"]
-            )
+                columns = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
+                )
 
     kind = docs.schema[doc_id].dataType
     sent = docs.select(
         F.col(doc_id).cast("string").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    made = sent.mapInPandas(
+    made = sent.mapInArrow(
         run, "doc_id string, piece int, start long, length long, ids_crc32 long, bucket int"
     )
     return made.withColumn("doc_id", F.col("doc_id").cast(kind))
