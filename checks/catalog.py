@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 
 from tallymart.functions import channel_of, segment_of
 from tallymart.operators import dense_keys
-from tallymart.plans import dashboard, insights, kpi, load, quality, questions, totals
+from tallymart.plans import dashboard, distinct, insights, kpi, load, quality, questions, totals
 from tallymart.plans import star as etl
 from tallymart.plans.totals import with_summaries
 from tallymart.rules import DEFAULT_RULES, Rules
 from tallymart.sources.driver_tables import broken_star
 from tallymart.sources.raw import RAW_FILES, RawTables, Staged, read_raw_csv, reject_counts, stage_raw_csv
-from tallymart.sources.shared import shared_dir
+from tallymart.sources.shared import shared_dir, store
 from tallymart.sources.star import (
     Star,
     read_clean,
@@ -196,6 +196,19 @@ def payload_round_trip(star: Star) -> DataFrame:
     return trends.select("t.*")
 
 
+def _stored_bitmaps(plan: Callable) -> Callable:
+    """A report from bitmaps that were written before."""
+
+    def report(star: Star) -> DataFrame:
+        return plan(star, bitmaps=store(distinct.customer_bitmaps(star), "bitmaps"))
+
+    return report
+
+
+def sketched_orders(star: Star) -> DataFrame:
+    return distinct.sketch_error(star, store(distinct.order_sketches(star), "sketches"))
+
+
 def _on_summaries(plan: Callable) -> Query:
     """Reports that need many sums write them first."""
     return lambda spark, sf_dir: comparable(
@@ -275,6 +288,13 @@ QUERIES: dict[str, Query] = {
     "kpi_success_rate": _on_star("graded", kpi.success_rate),
     "kpi_retention": _on_star("plain", kpi.retention),
     "kpi_retention_cross_year": _on_star("plain", lambda s: kpi.retention(s, cross_year=True)),
+    "bitmap_retention": _on_star("plain", _stored_bitmaps(distinct.retention)),
+    "bitmap_retention_cross_year": _on_star(
+        "plain", lambda s: distinct.retention(s, cross_year=True)
+    ),
+    "bitmap_customers_by_month": _on_star("graded", _stored_bitmaps(distinct.customers_by_month)),
+    "bitmap_customers_by_channel": _on_star("graded", distinct.customers_by_channel),
+    "sketched_orders_by_category": _on_star("graded", sketched_orders),
     "kpi_failed_by_channel": _on_star("graded", kpi.failed_by_channel),
     "kpi_order_value": _on_star("graded", kpi.order_value),
     "kpi_revenue_per_customer": _on_star("graded", kpi.revenue_per_customer),

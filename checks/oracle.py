@@ -730,6 +730,19 @@ ORACLE: dict[str, str] = {
     ),
     "kpi_retention": _retention(cross_year=False),
     "kpi_retention_cross_year": _retention(cross_year=True),
+    "bitmap_retention": _retention(cross_year=False),
+    "bitmap_retention_cross_year": _retention(cross_year=True),
+    "bitmap_customers_by_month": _graded(
+        """SELECT year, month, count(DISTINCT customer_key) AS customers FROM sales
+ GROUP BY year, month"""
+    ),
+    "bitmap_customers_by_channel": _graded(
+        "SELECT channel, count(DISTINCT customer_key) AS customers FROM sales GROUP BY channel"
+    ),
+    "sketched_orders_by_category": _graded(
+        """SELECT category, count(DISTINCT order_id) AS orders, true AS within_bound
+ FROM sales GROUP BY category"""
+    ),
     "kpi_failed_by_channel": _graded(_FAILED_BY_CHANNEL),
     "kpi_order_value": _graded(_ORDER_VALUE),
     "kpi_revenue_per_customer": _graded(_REVENUE_PER_CUSTOMER),
