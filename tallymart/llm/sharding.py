@@ -7,7 +7,8 @@ gets keys in proportion to its weight.
 
 A place within the shard (slot) needs no task that sees a whole shard: rows are
 numbered inside small buckets of a shard, and the bucket sizes, of a number that
-is a parameter, are summed up.
+is a parameter, are summed up.  A bucket follows from id, checksum and size, so the rows
+of one id, however many, are cut over the buckets of its shard as far as their texts differ.
 """
 
 from __future__ import annotations
@@ -64,13 +65,15 @@ def assign(
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
+        key.alias("key"),
         (F.octet_length(content) + overhead).cast("bigint").alias("size"),
         F.crc32(content.cast("binary")).alias("text_crc32"),
         winner(key, [*weights, next_weight]).alias("grown_shard"),
         # Without the last shard, the others bid as before.
         winner(key, weights).alias("shard"),
-        (_digest(key, "bucket") % buckets).cast("int").alias("bucket"),
     )
+    whole = F.concat_ws(":", "key", "text_crc32", "size")
+    rows = rows.withColumn("bucket", (_digest(whole, "bucket") % buckets).cast("int"))
     inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
     numbered = rows.withColumn("place", F.row_number().over(inside) - 1)
     # One row per shard and bucket: a number set by the parameters.

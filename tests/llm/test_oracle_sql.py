@@ -13,5 +13,6 @@ from tallymart.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equal(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     assert difference(QUERIES[name](spark, sf_dir), con, ORACLE[name]) is None

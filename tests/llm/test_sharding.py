@@ -53,3 +53,15 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
     check(docs, [1.0] * 40, sharding.assign(docs).collect())
     assert sharding.assign(docs.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_are_cut(spark):
+    """A third of all rows on one id are in one shard, but numbered in many groups."""
+    docs = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 5 ELSE id END AS doc_id", "concat('t', id) AS text")
+    got = sharding.assign(docs).collect()
+    check(docs, [1.0] * 40, got)
+    key = [(r.text_crc32, r.size) for r in docs.sparkSession.createDataFrame(got).where("doc_id = 5").collect()]
+    buckets = {
+        int(hashlib.md5(f"bucket:5:{crc}:{size}".encode()).hexdigest()[:13], 16) % 256 for crc, size in key
+    }
+    assert len(key) > 1990 and len(buckets) > 240
