@@ -138,7 +138,8 @@ def predict(
     """One row per document: doc_id, held_out, lang_pred, score.
 
     ``und`` with score 0 for a text that is null or has no letter, or if nothing
-    could be learned.  A null id is held out.  Repeated rows are kept.
+    could be learned.  Of languages with equal scores the first by name is given.  A null
+    id is held out.  Repeated rows are kept.
     """
     model = train(docs, doc_id, text, lang)
     scored = by_document(docs, doc_id, text, model.predict, "lang_pred string, score double")

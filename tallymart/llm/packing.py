@@ -130,7 +130,7 @@ def cut(size: int, capacity: int) -> list[tuple[int, int]]:
 
 def token_pieces(
     docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id: str, text: str,
-    special: bool = False,
+    special: bool = False, batch_bytes: int = BATCH_CHARS,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, bucket of every piece.
 
@@ -146,7 +146,7 @@ def token_pieces(
         dealt = 0
         for part in parts:
             docs_of = part.column(0).to_pylist()
-            for first, texts in slices(part.column(1), BATCH_CHARS):
+            for first, texts in slices(part.column(1), batch_bytes):
                 rows = []
                 for at, ids in enumerate(encoder.encode(texts), first):
                     ids = np.append(ids, end_id).astype("<u4")
@@ -196,15 +196,20 @@ def pack(
     doc_id: str = "doc_id",
     text: str = "text",
     special: bool = False,
+    batch_bytes: int = BATCH_CHARS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Each text (null: empty) is encoded by the tokenizer file, with ``special`` added
-    tokens in it as their single ids, and ``end_id`` is put after it; texts of more than ``capacity`` ids are cut into full pieces after a
-    first one that may be shorter.  Repeated rows are pieces of their own.  No rows
-    give no sequences.
+    tokens in it as their single ids, and ``end_id`` is put after it; texts of more than
+    ``capacity`` ids are cut into full pieces after a first one that may be shorter.
+    Repeated rows are pieces of their own.  No rows give no sequences.
+
+    A task encodes ``batch_bytes`` of text at a time; more take more memory and less
+    time, as a word is replayed once per batch.
     """
-    pieces = store(token_pieces(docs, vocabulary, capacity, end_id, doc_id, text, special), "pieces")
+    made = token_pieces(docs, vocabulary, capacity, end_id, doc_id, text, special, batch_bytes)
+    pieces = store(made, "pieces")
     # At most ``capacity`` rows.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     planned = docs.sparkSession.createDataFrame(

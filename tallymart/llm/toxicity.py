@@ -334,7 +334,7 @@ def scored(
 
     Empty and null texts get the score of a text without toxic tokens; without
     labels of both classes all scores are 0.  A null id is held out.  Repeated
-    rows are kept.
+    rows are kept.  Of features that tell equally much the first by name is learned.
     """
     model = train(docs, labels, doc_id, text, toxic, folds, held_fold)
     out = by_document(docs, doc_id, text, model.score, "score double, spans string")
@@ -354,6 +354,10 @@ def keep_clean(
     folds: int = 3,
     held_fold: int = 1,
 ) -> DataFrame:
-    """The documents whose score is under the limit, with the columns of ``docs``."""
+    """The documents whose score is under the limit, with the columns of ``docs``.
+
+    Null and empty texts score as a text without toxic tokens; equal texts stay or go
+    together, repeated rows stay repeated.  No rows give none.
+    """
     model = train(docs, labels, doc_id, text, toxic, folds, held_fold)
     return keep_rows(docs, text, lambda texts: [score < LIMIT for score, _ in model.score(texts)])
