@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.functions import channel_of, segment_of
-from tallymart.operators import dense_keys
+from tallymart.operators import dense_keys, top_ranked
 from tallymart.plans import dashboard, distinct, insights, kpi, load, quality, questions, totals
 from tallymart.plans import star as etl
 from tallymart.plans.totals import with_summaries
@@ -209,6 +209,15 @@ def sketched_orders(star: Star) -> DataFrame:
     return distinct.sketch_error(star, store(distinct.order_sketches(star), "sketches"))
 
 
+def ranked_customers(star: Star) -> DataFrame:
+    """The better half of the paying customers with their places, by ranges."""
+    sums = totals.customer_sums(star).join(
+        star.dim_customer.select("customer_key", "customer_id"), "customer_key"
+    )
+    sums = sums.select("customer_id", F.col("revenue").alias("total_revenue"))
+    return top_ranked(sums, "total_revenue", "customer_id", sums.count() // 2, "place")
+
+
 def _on_summaries(plan: Callable) -> Query:
     """Reports that need many sums write them first."""
     return lambda spark, sf_dir: comparable(
@@ -307,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "aq_segment_churn": _on_star("graded", questions.segment_churn),
     "aq_channel_failure": _on_star("graded", questions.channel_failure),
     "aq_category_ranking": _on_star("graded", questions.category_ranking),
+    "aq_product_ranking": _on_star("graded", questions.product_ranking),
+    "aq_ranked_customers": _on_star("graded", ranked_customers),
     "aq_category_recommendation": _on_star("graded", questions.category_recommendation),
     "aq_top_customers": _on_star("graded", questions.top_customers),
     "aq_category_mix": _on_star("graded", questions.category_mix),

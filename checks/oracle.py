@@ -757,6 +757,19 @@ ORACLE: dict[str, str] = {
     "aq_segment_churn": _graded(_CHURN),
     "aq_channel_failure": _graded(_CHANNEL_FAILURE),
     "aq_category_ranking": _graded("SELECT * FROM ranked", _RANKED),
+    "aq_product_ranking": _graded(
+        f"""SELECT product_id, category, {money('revenue_c')} AS total_revenue, profit_margin_pct,
+ percent_rank() OVER (ORDER BY revenue_c DESC) AS revenue_percentile,
+ percent_rank() OVER (ORDER BY profit_margin_pct DESC) AS margin_percentile
+ FROM (SELECT product_id, category, {_SUM_R} AS revenue_c, {pct(_SUM_P, _SUM_R)} AS profit_margin_pct
+  FROM sales GROUP BY product_key, product_id, category)"""
+    ),
+    "aq_ranked_customers": _graded(
+        f"""SELECT customer_id, {money('revenue_c')} AS total_revenue, place
+ FROM (SELECT customer_id, {_SUM_R} AS revenue_c, count(*) OVER () AS n,
+   row_number() OVER (ORDER BY {_SUM_R} DESC, customer_id) AS place
+  FROM sales GROUP BY customer_key, customer_id) WHERE place <= n // 2"""
+    ),
     "aq_category_recommendation": _graded(_RECOMMENDATION, _RANKED),
     "aq_top_customers": _graded(_top_customers(f"{money(_SUM_P)} AS total_profit,")),
     "aq_category_mix": _graded(_MIX),

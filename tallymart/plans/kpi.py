@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import mean, percent
+from ..operators import top_ranked
 from ..rules import DEFAULT_RULES, Rules
 from ..sources.star import Star
 from .totals import (
@@ -28,6 +29,10 @@ from .totals import (
 )
 
 
+#: Longer lists are ranked by ranges, not gathered and sorted by one task.
+LONG_LIST = 100_000
+
+
 def _desc(name: str) -> Column:
     return F.col(name).desc()
 
@@ -263,14 +268,16 @@ def channel_performance(star: Star) -> DataFrame:
 def top_customers(
     star: Star, limit: int = DEFAULT_RULES.customer_limit, with_profit: bool = False
 ) -> DataFrame:
-    """Customers with the most paid revenue, ties by customer id."""
+    """Customers with the most paid revenue, ties by customer id.
+
+    A list too long for one task (over LONG_LIST) is ranked by ranges.
+    """
     customers = star.dim_customer.select("customer_key", "customer_id", "segment", "country")
-    best = (
-        customer_sums(star)
-        .join(customers, "customer_key")
-        .orderBy(_desc("revenue"), "customer_id")
-        .limit(limit)
-    )
+    known = customer_sums(star).join(customers, "customer_key")
+    if limit > LONG_LIST:
+        best = top_ranked(known, "revenue", "customer_id", limit, "place").drop("place")
+    else:
+        best = known.orderBy(_desc("revenue"), "customer_id").limit(limit)
     profit = [F.col("profit").alias("total_profit")] if with_profit else []
     return (
         orders_of(star, best, "customer_key", limit)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import mean, percent, tier
+from ..operators import percent_ranks
 from ..rules import DEFAULT_RULES, Rules
 from ..sources.star import Star
 from . import kpi
@@ -163,6 +164,19 @@ def category_ranking(star: Star) -> DataFrame:
     )
 
 
+def product_ranking(star: Star) -> DataFrame:
+    """Paid products with percent ranks by revenue and by margin, best first.
+
+    The catalogue may be large, so ranks come from ranges, not from one window.
+    """
+    ranked = product_totals(star).select(
+        "product_id", "category", F.col("revenue").alias("total_revenue"),
+        margin().alias("profit_margin_pct"),
+    )
+    ranked = percent_ranks(ranked, "total_revenue", "revenue_percentile")
+    return percent_ranks(ranked, "profit_margin_pct", "margin_percentile")
+
+
 def category_recommendation(star: Star) -> DataFrame:
     """What to do with each category, most urgent first."""
     margin_pct, rank = F.col("profit_margin_pct"), F.col("revenue_percentile")
