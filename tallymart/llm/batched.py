@@ -62,7 +62,9 @@ def keep_rows(docs: DataFrame, text: str, keep: Callable[[list[str]], list[bool]
             texts = [t or "" for t in part.column(at).to_pylist()]
             yield part.filter(pa.array(keep(texts), pa.bool_()))
 
-    return docs.mapInArrow(batch, docs.schema)
+    # Names with dots are no names to mapInArrow, so columns travel by place.
+    placed = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    return placed.mapInArrow(batch, placed.schema).toDF(*docs.columns)
 
 
 def lowered(text: str) -> str:

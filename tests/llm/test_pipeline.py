@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+
 import corpus_pipeline
+from pyspark.sql import functions as F
 from test_near_dedup import brute_components, brute_fingerprint
 from test_packing import check as check_packing
 from test_quality import brute as brute_quality
@@ -52,3 +55,37 @@ def test_run_is_the_stages_together(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.count() > 0
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_run_on_odd_documents(spark, sf_dir, tmp_path):
+    """Nulls, repeated rows and clashing columns go through; an empty table gives no rows."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    lost = docs.limit(3)
+    for name in ("text", "lang", "source", "n_chars", "doc_id"):
+        lost = lost.unionByName(docs.limit(3).withColumn(name, F.lit(None).cast(docs.schema[name].dataType)))
+    odd = docs.unionByName(docs.limit(5)).unionByName(lost)
+    for name in ("__nth", "hash1", "row", "a.b", "_text", "_all", "fingerprint", "score", "tid"):
+        odd = odd.withColumn(name, F.lit(name))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    for name, frame in (("odd", odd), ("empty", odd.limit(0))):
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert out and len({(r.doc_id, r.piece) for r in out}) == len(out)  # no copy is left
+    assert {r.doc_id for r in out} <= {r.doc_id for r in odd.collect()}
+    empty = corpus_pipeline.run(spark, f"{tmp_path}/empty")
+    assert empty.count() == 0 and "sequence_id" in empty.columns
+
+
+def test_stage_tables_go(spark, sf_dir, monkeypatch, tmp_path):
+    """At the end one stage's table is left, that of the last one read."""
+    made = []
+
+    def kept(df, label):
+        made.append(store(df, label))
+        return made[-1]
+
+    monkeypatch.setattr(corpus_pipeline, "store", kept)
+    corpus_pipeline.run(spark, sf_dir)
+    there = [os.path.isdir(df._stored_at) for df in made]
+    assert there == [False] * (len(made) - 1) + [True]
