@@ -37,7 +37,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of a document with its place in a sequence of at most 2048 tokens."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, vocabulary, capacity=2048, end_id=0, special=True)
+    # Small batches: earlier stages leave their executors' heaps grown.
+    return packing.pack(
+        docs, vocabulary, capacity=2048, end_id=0, special=True, batch_bytes=2_500_000
+    )
 
 
 STAGES = [
