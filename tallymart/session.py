@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Fewer, larger tasks and files than the default of 64 MB.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Whole texts go to Python workers: bound a batch in bytes, not only in rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
     # Plans are built from many small column calls; do not record a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
