@@ -70,7 +70,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(
         documents(spark, sf_dir), vocabulary, capacity=2048, end_id=0, special=True,
-        batch_bytes=16_000_000,
+        batch_bytes=32_000_000,
     )
 
 
