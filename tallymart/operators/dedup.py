@@ -13,13 +13,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ())
 
     A null sorts after every value, so a broken copy never displaces a whole
     one.  The order is total over the frame's columns, so rows that still tie
-    are equal.  The rank filter is planned as a group limit before the shuffle:
-    each map task sends at most one row per key, however many copies it holds.
+    are equal.  Rows are shuffled as they are read and sorted once, behind the
+    shuffle: left to itself, Spark sorts every input split as well to limit it
+    before the shuffle, and a split that does not fit in memory is spilled whole.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     first = Window.partitionBy(*keys).orderBy(
         *(F.col(c).asc_nulls_last() for c in [*order_by, *rest])
     )
     return (
-        df.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") == 1).drop("_nth")
+        df.repartition(*keys)
+        .withColumn("_nth", F.row_number().over(first))
+        .where(F.col("_nth") == 1)
+        .drop("_nth")
     )
