@@ -214,7 +214,7 @@ def ranked_customers(star: Star) -> DataFrame:
     sums = totals.customer_sums(star).join(
         star.dim_customer.select("customer_key", "customer_id"), "customer_key"
     )
-    sums = sums.select("customer_id", F.col("revenue").alias("total_revenue"))
+    sums = store(sums.select("customer_id", F.col("revenue").alias("total_revenue")), "ranked")
     return top_ranked(sums, "total_revenue", "customer_id", sums.count() // 2, "place")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import store
+from ..sources.shared import forget, store
 
 _OFFSET_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
@@ -16,18 +16,21 @@ _OFFSET_BITS = 33  # monotonically_increasing_id keeps the partition above this
 def dense_keys(df: DataFrame, order_by: str, key: str) -> DataFrame:
     """Number the rows 1..N in the order of the unique column ``order_by``.
 
-    One range shuffle sorts the table across partitions; the position inside a
-    partition is the low part of the monotonic id.  The sorted table is written
+    The table is written first, because a range shuffle computes its input twice,
+    for the bounds and for the rows.  The range shuffle sorts it across partitions;
+    the position inside a partition is the low part of the monotonic id.  The sorted table is written
     to the shared folder, because range bounds are sampled and a second run of
     the same plan could cut elsewhere.  What is summed up and broadcast is one
     row per written partition, bounded by the shuffle partition count.
     """
+    rows = store(df, "unkeyed")
     placed = store(
-        df.repartitionByRange(order_by)
+        rows.repartitionByRange(order_by)
         .sortWithinPartitions(order_by)
         .withColumn("_place", F.monotonically_increasing_id()),
         "keys",
     )
+    forget(rows)
     part = F.shiftright("_place", _OFFSET_BITS)
     within = F.col("_place").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg((F.max(within) + 1).alias("_size"))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import store
+from ..sources.shared import store, stored
 
 
 def _running(rows: DataFrame, order: Sequence[Column], weight: Column) -> DataFrame:
@@ -60,8 +60,10 @@ def top_ranked(df: DataFrame, value: str, tie: str, limit: int, name: str) -> Da
     """The ``limit`` rows with the largest ``value``, equal ones by ``tie``, and their place from 1.
 
     A threshold from an approximate quantile leaves little more than the rows wanted; where
-    it leaves fewer, all rows are ranked.  The driver sees three numbers.
+    it leaves fewer, all rows are ranked.  The driver sees three numbers.  The rows are
+    counted, cut and ranked from a written table, so that ``df`` is computed once.
     """
+    df = stored(df, "ranked")
     total = df.count()
     kept = df
     if total > 2 * limit:

@@ -55,6 +55,11 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return stored
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` if ``store`` wrote it, else a stored copy, for frames that are read more than once."""
+    return df if hasattr(df, "_stored_at") else store(df, label)
+
+
 def forget(df: DataFrame) -> None:
     """Delete a table that ``store`` wrote, once nothing reads it any more; others are left alone."""
     path = getattr(df, "_stored_at", None)
